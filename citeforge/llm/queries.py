@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citeforge.llm import bpe, packing
+from citeforge.llm import bpe, packing, spam
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,5 +19,9 @@ def p8_containers(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_table(spark, folder, "documents"))
 
 
-QUERIES = {"p7_ids": p7_ids, "p8_containers": p8_containers}
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return spam.found(_table(spark, folder, "documents"))
+
+
+QUERIES = {"p7_ids": p7_ids, "p8_containers": p8_containers, "p9_found": p9_found}
 SQL: dict[str, str] = {}
