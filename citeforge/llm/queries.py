@@ -4,13 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citeforge.llm import bpe, packing, spam
+from citeforge.llm import bpe, encoding, packing, spam
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: The fields of the exports in which damaged text is looked for.
+TEXT_FIELDS = ["authors", "affiliations", "title"]
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return encoding.found(_table(spark, folder, "scopus_records"), TEXT_FIELDS)
+
+
+def p3_restored(spark: SparkSession, folder: str) -> DataFrame:
+    return encoding.restored(_table(spark, folder, "scopus_records"), TEXT_FIELDS)
+
+
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode(_table(spark, folder, "documents"))
 
@@ -23,5 +35,11 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return spam.found(_table(spark, folder, "documents"))
 
 
-QUERIES = {"p7_ids": p7_ids, "p8_containers": p8_containers, "p9_found": p9_found}
+QUERIES = {
+    "p3_found": p3_found,
+    "p3_restored": p3_restored,
+    "p7_ids": p7_ids,
+    "p8_containers": p8_containers,
+    "p9_found": p9_found,
+}
 SQL: dict[str, str] = {}
