@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citeforge.llm import bpe, encoding, packing, spam
+from citeforge.llm import bpe, encoding, names, packing, spam
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return names.found(_table(spark, folder, "party_names"))
+
+
 #: The fields of the exports in which damaged text is looked for.
 TEXT_FIELDS = ["authors", "affiliations", "title"]
 
@@ -36,6 +40,7 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "p2_found": p2_found,
     "p3_found": p3_found,
     "p3_restored": p3_restored,
     "p7_ids": p7_ids,
