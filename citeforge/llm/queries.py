@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citeforge.llm import bpe, encoding, names, packing, spam
+from citeforge.llm import bpe, encoding, history, names, packing, spam
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def p3_restored(spark: SparkSession, folder: str) -> DataFrame:
     return encoding.restored(_table(spark, folder, "scopus_records"), TEXT_FIELDS)
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return history.found(_table(spark, folder, "scopus_records"))
+
+
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode(_table(spark, folder, "documents"))
 
@@ -43,6 +47,7 @@ QUERIES = {
     "p2_found": p2_found,
     "p3_found": p3_found,
     "p3_restored": p3_restored,
+    "p5_found": p5_found,
     "p7_ids": p7_ids,
     "p8_containers": p8_containers,
     "p9_found": p9_found,
