@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citeforge.llm import bpe, encoding, history, names, packing, spam
+from citeforge.llm import bpe, encoding, history, linkage, names, packing, spam
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -31,6 +31,18 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return history.found(_table(spark, folder, "scopus_records"))
 
 
+def _sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    return _table(spark, folder, "scopus_records"), _table(spark, folder, "crossref_works")
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return linkage.found(*_sides(spark, folder))
+
+
+def p6_matches(spark: SparkSession, folder: str) -> DataFrame:
+    return linkage.matches(*_sides(spark, folder))
+
+
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode(_table(spark, folder, "documents"))
 
@@ -48,6 +60,8 @@ QUERIES = {
     "p3_found": p3_found,
     "p3_restored": p3_restored,
     "p5_found": p5_found,
+    "p6_found": p6_found,
+    "p6_matches": p6_matches,
     "p7_ids": p7_ids,
     "p8_containers": p8_containers,
     "p9_found": p9_found,

@@ -167,7 +167,9 @@ def compare(a: list[str], b: list[str]) -> tuple[int, int, int]:
 
 
 def same_title(a: str, b: str) -> str:
-    """``equal``, ``near`` (typing errors, words left out, cut off), or ``other``."""
+    """``equal``; ``near`` (typing errors, words left out); ``cut`` (the end of one is missing;
+    ``open`` if that may have held a part number); ``part`` (only one has a part number); or
+    ``other``."""
     (x, notice_a, part_a), (y, notice_b, part_b) = split_title(a), split_title(b)
     if notice_a != notice_b or (part_a and part_b and part_a != part_b):
         return "other"
@@ -179,6 +181,6 @@ def same_title(a: str, b: str) -> str:
         return "other"
     if part_a != part_b and not cut_off:
         return "part"
-    if part_a != part_b or cut_off:
-        return "cut"
+    if cut_off:
+        return "cut" if part_a == part_b else "open"
     return "near"
