@@ -9,6 +9,9 @@ import html
 import re
 import unicodedata
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 from citeforge.llm.encoding import readings
 from citeforge.llm.names import distance, fold
 
@@ -166,6 +169,19 @@ def compare(a: list[str], b: list[str]) -> tuple[int, int, int]:
     return full[1], full[2], 0
 
 
+#: Titles of one publication differ by what one is shorter, and by this share of the shorter.
+EDITS = 0.3
+
+
+def titles_near(a: Column, b: Column) -> Column:
+    """True if the edit distance of two titles allows for one publication: the JVM's banded
+    computation, which stops at the bound. Words left out and ends cut off are part of the
+    difference in length, so the bound holds for them as well."""
+    short, long = F.least(F.length(a), F.length(b)), F.greatest(F.length(a), F.length(b))
+    bound = (long - short + short * F.lit(EDITS)).cast("int")
+    return F.call_function("levenshtein", a, b, bound) >= 0
+
+
 def same_title(a: str, b: str) -> str:
     """``equal``; ``near`` (typing errors, words left out); ``cut`` (the end of one is missing;
     ``open`` if that may have held a part number); ``part`` (only one has a part number); or
