@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from citeforge.session import cut
+
 #: The fields of each kind of node, in the order of its table.
 NODE_FIELDS = {
     "priority_claim": ["jurisdiction", "number", "date"],
@@ -227,9 +229,12 @@ def label_nodes(records: DataFrame, id_col: str = "rec_id", attrs: bool = True)
     return lists.select(F.col(id_col), labelled.alias("nodes"))
 
 
-def node_tables(records: DataFrame, id_col: str = "rec_id") -> dict[str, DataFrame]:
-    """One flat table per kind: ``id_col, pre, post, child_no`` and the fields of the kind."""
+def node_tables(records: DataFrame, id_col: str = "rec_id", written: bool = False) -> dict[str, DataFrame]:
+    """One flat table per kind: ``id_col, pre, post, child_no`` and the fields of the kind.
+    ``written``: walk the records once, into a table that all kinds are read from."""
     nodes = label_nodes(records, id_col).select(id_col, F.explode("nodes").alias("n"))
+    if written:
+        nodes = cut(nodes, "nodes")
     return {
         kind: nodes.filter(F.col("n.kind") == kind).select(
             id_col,

@@ -24,7 +24,7 @@ def _p1_table(kind: str):
 
 
 def p1_external_ids_linked(spark: SparkSession, folder: str) -> DataFrame:
-    tables = nested.node_tables(_table(spark, folder, "citing_patents_analysis"))
+    tables = nested.node_tables(_table(spark, folder, "citing_patents_analysis"), written=True)
     return nested.interval_join(tables["citation"], tables["external_id"])
 
 
