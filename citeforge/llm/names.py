@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from citeforge.llm import graph
 from citeforge.session import cut
 
 # Titles and degrees, words of departments, kinds and company forms, nicknames.
@@ -341,18 +342,17 @@ def persons(read: DataFrame, near: DataFrame) -> DataFrame:
     own = forms.select(F.col("form").alias("a"), F.col("lands").alias("own"), F.col("n").alias("k"))
     agree = (F.size("own") == 0) | (F.size("lands") == 0) | F.arrays_overlap("own", "lands")
     links = links.join(own, "a").filter(agree & (F.col("k") <= 2)).select("a", "b")
-    full = full.join(components(forms.select("form"), links), "form").drop("form")
+    of_form = cut(components(forms.select("form"), links), "names-forms")
+    full = full.join(of_form, "form")
     # What is known of each full name: its middle initials and countries, a handful of values.
     known = full.groupBy("entity").agg(
         F.collect_set(F.when(F.col("middle") != "", F.substring("middle", 1, 1))).alias("middles"),
         F.collect_set("country").alias("countries"),
     )
-    ends = known.withColumn("t", F.split("entity", "[|]")).select(
-        "entity", "middles", "countries", F.explode("t").alias("family"), "t"
-    )
-    ends = ends.select(
-        "entity", "middles", "countries", "family", F.explode(F.filter("t", lambda x: x != F.col("family"))).alias("given")
-    ).withColumn("i", F.substring("given", 1, 1))
+    # Every spelling of an entity can be what a hint stands for.
+    ends = of_form.withColumn("t", F.split("form", "[|]")).select("entity", F.explode("t").alias("family"), "t")
+    ends = ends.select("entity", "family", F.explode(F.filter("t", lambda x: x != F.col("family"))).alias("given"))
+    ends = ends.join(known, "entity").withColumn("i", F.substring("given", 1, 1))
     part = rows.filter(F.col("family").isNotNull()).withColumn("i", F.substring("hint", 1, 1))
     own_mid = F.substring("middle", 1, 1)
     fits_mid = (F.col("middle") == "") | (F.size("middles") == 0) | F.array_contains("middles", own_mid)
@@ -427,18 +427,14 @@ def orgs(read: DataFrame, near: DataFrame) -> DataFrame:
     rows = rows.withColumn("form", F.concat_ws(" ", "kinds", F.array_join("words", " ")))
     rows = cut(rows, "names-orgs")
     forms = rows.groupBy("form", "kinds").agg(F.first("words").alias("words"), F.count("*").alias("n"))
-    # The word of a form that the fewest forms share is its place or brand; the forms of one
-    # place and kind are few, and their words are aligned.
-    each = forms.select("form", F.explode("words").alias("word"))
-    spread = each.groupBy("word").agg(F.count("*").alias("forms"))
-    place = each.join(spread, "word").groupBy("form").agg(
-        F.min_by("word", F.struct(F.col("word").endswith("."), "forms", "word")).alias("place")
-    )
-    keyed = cut(forms.join(place, "form").select("form", "kinds", "words", "place", F.size("words").alias("k")), "names-places")
+    # Abbreviation keeps the first letters of a word, so forms that can be aligned agree in the
+    # first three letters of all their words; errors in those are left to the index.
+    heads = F.array_join(F.array_sort(F.transform("words", lambda w: F.substring(w, 1, 3))), "|")
+    keyed = cut(forms.select("form", "kinds", "words", heads.alias("heads")), "names-heads")
     pair = pa.schema([("a", pa.string()), ("b", pa.string())])
     links = (
         keyed.alias("x")
-        .join(keyed.alias("y"), ["place", "kinds", "k"])
+        .join(keyed.alias("y"), ["heads", "kinds"])
         .filter(F.col("x.form") < F.col("y.form"))
         .select("x.form", "x.words", "y.form", "y.words")
         .toDF("fa", "wa", "fb", "wb")
@@ -453,25 +449,10 @@ def orgs(read: DataFrame, near: DataFrame) -> DataFrame:
     return rows.join(entity, "form").select("name_id", F.concat(F.lit("o:"), "entity").alias("entity"))
 
 
-def components(nodes: DataFrame, links: DataFrame, rounds: int = 12) -> DataFrame:
-    """``form, entity``: the least form reachable. Labels spread along links and jump to the
-    label of their label, so long chains shorten fast; stops when nothing changes."""
-    both = cut(links.select("a", "b").union(links.select("b", "a")), "names-links")
-    labels = cut(nodes.withColumn("entity", F.col("form")), "names-labels")
-    for _ in range(rounds):
-        near = both.join(labels, both["b"] == labels["form"]).groupBy("a").agg(F.min("entity").alias("low"))
-        stepped = labels.join(near, labels["form"] == near["a"], "left").select(
-            "form", F.least("entity", F.coalesce("low", "entity")).alias("entity"), F.col("entity").alias("old")
-        )
-        up = labels.select(F.col("form").alias("f"), F.col("entity").alias("top"))
-        after = cut(
-            stepped.join(up, stepped["entity"] == up["f"], "left").select("form", F.least("entity", "top").alias("entity"), "old"),
-            "names-labels",
-        )
-        labels = after.select("form", "entity")
-        if not after.filter("entity <> old").limit(1).count():
-            break
-    return labels
+def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``form, entity``: the least form that a form is linked with, itself if with none."""
+    roots = graph.components(links)
+    return nodes.join(roots, nodes["form"] == roots["node"], "left").select("form", F.coalesce("root", "form").alias("entity"))
 
 
 def entities(names: DataFrame) -> DataFrame:

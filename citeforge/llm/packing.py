@@ -13,7 +13,7 @@ starts with are what the shards before it leave, a running sum over the small ta
 by shard and source; so windows follow on across partitions without being made in sequence.
 
 Target shares are the sources' shares of all tokens unless given. Every item comes out:
-``container_id, doc_id, part_no, token_start, n_tokens, source``. Only an item above the
+``container_id, window_id, doc_id, part_no, token_start, n_tokens, source``. Only an item above the
 capacity is split, into full containers and one rest that is packed like any other item.
 
 Defined cases: null, empty and missing texts measure 0 tokens and come out as one part of 0
@@ -42,7 +42,8 @@ FILLED = 0.97
 
 def best_fit(sizes: list[int], capacity: int) -> list[int]:
     """Container number of each item: largest first into the fullest container that has room."""
-    order = sorted(range(len(sizes)), key=lambda i: -sizes[i])
+    # Equal sizes in mixed order, so that a container does not gather one source.
+    order = sorted(range(len(sizes)), key=lambda i: (-sizes[i], i * 2654435761 % 4294967296))
     by_room: dict[int, list[int]] = defaultdict(list)
     rooms = np.zeros(capacity + 1, bool)
     where, count = [0] * len(sizes), 0
@@ -60,14 +61,16 @@ def best_fit(sizes: list[int], capacity: int) -> list[int]:
     return where
 
 
-def fill_shard(items: pd.DataFrame, shares: dict, owed: dict, capacity: int, window: int, filled: float) -> list[int]:
-    """Container of each item of one shard. ``owed`` holds the deficits it starts with."""
+def fill_shard(
+    items: pd.DataFrame, shares: dict, owed: dict, capacity: int, window: int, filled: float
+) -> tuple[list[int], list[int]]:
+    """Container and window of each item of one shard. ``owed`` holds the deficits it starts with."""
     queues: dict = defaultdict(deque)
     for i, s in enumerate(items["source"]):
         queues[s].append(i)
     sizes = items["n_tokens"].tolist()
     source = items["source"].tolist()
-    place, first, deficit = [0] * len(sizes), 0, dict(owed)
+    place, turn, first, number_of, deficit = [0] * len(sizes), [0] * len(sizes), 0, 0, dict(owed)
     left = len(sizes)
     while left:
         taken, budget = [], window * capacity
@@ -96,15 +99,16 @@ def fill_shard(items: pd.DataFrame, shares: dict, owed: dict, capacity: int, win
         number = {c: first + k for k, c in enumerate(sorted(keep))}
         for i, c in zip(reversed(taken), reversed(where), strict=True):
             if c in keep:
-                place[i] = number[c]
+                place[i], turn[i] = number[c], number_of
                 left -= 1
             else:
                 queues[source[i]].appendleft(i)
                 deficit[source[i]] += sizes[i]
         first += len(keep)
+        number_of += 1
         for s in [s for s in queues if not queues[s]]:
             deficit[s] = min(deficit.get(s, 0.0), 0.0)
-    return place
+    return place, turn
 
 
 def _prefix(df: DataFrame, order: str, value: str, out: str, by: list[str] | None = None, block: int = 4096) -> DataFrame:
@@ -171,20 +175,21 @@ def pack(
     )
 
     def run(items: pd.DataFrame, debts: pd.DataFrame) -> pd.DataFrame:
-        out = ["container_id", "doc_id", "part_no", "token_start", "n_tokens", "source"]
+        out = ["container_id", "window_id", "doc_id", "part_no", "token_start", "n_tokens", "source"]
         if items.empty:
             return pd.DataFrame(columns=out)
         items = items.sort_values(["doc_id", "part_no"], kind="stable").reset_index(drop=True)
         items["source"] = items["source"].astype(object).where(items["source"].notna(), None)
         names = [None if pd.isna(s) else s for s in debts["source"]]
-        place = fill_shard(
+        place, turn = fill_shard(
             items, dict(zip(names, debts["share"], strict=True)), dict(zip(names, debts["owed"], strict=True)), capacity, window, filled
         )
+        items["window_id"] = items["shard"].astype("int64") * (1 << 28) + np.array(turn, dtype="int64")
         items["container_id"] = items["shard"].astype("int64") * (1 << 28) + np.array(place, dtype="int64")
         return items[out]
 
     schema = parts.selectExpr(
-        "cast(0 as bigint) as container_id", "doc_id", "part_no", "token_start", "n_tokens", "source"
+        "cast(0 as bigint) as container_id", "cast(0 as bigint) as window_id", "doc_id", "part_no", "token_start", "n_tokens", "source"
     ).schema
     return parts.groupBy("shard").cogroup(owed.groupBy("of_shard")).applyInPandas(run, schema)
 
