@@ -132,8 +132,8 @@ def no_orphans(name: str, bridge: DataFrame, parent: DataFrame, key: str) -> Dat
 
 def unique_key(name: str, table: DataFrame, keys: list[str]) -> DataFrame:
     """[VAL-18] No key occurs twice and none is null."""
-    twice = table.groupBy(*keys).agg(F.count("*").alias("k"))
-    bad = (F.col("k") > 1) | F.greatest(*[F.col(c).isNull().cast("int") for c in keys], F.lit(0)).cast("boolean")
+    twice = table.groupBy(*keys).agg(F.count("*").alias("__times"))
+    bad = (F.col("__times") > 1) | F.greatest(*[F.col(c).isNull().cast("int") for c in keys], F.lit(0)).cast("boolean")
     n = twice.agg(F.count(F.when(bad, 1)).alias("n"))
     return check(name, n, F.col("n") == 0, F.concat(F.col("n").cast("string"), F.lit(" keys not unique")))
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeforge.functions import similarity, text
 from citeforge.operators import analytics, coverage, details, entities, ids, matching, patents, quality
+from citeforge.session import shared_dir
+from citeforge.streaming import ingest
 
 ORDER = "record_id"
 
@@ -143,6 +147,16 @@ def _match_title(s: SparkSession, d: str) -> DataFrame:
     return matching.best(matching.scored(matching.candidates(left, right, "title"), "title"))
 
 
+def _stream_ingest(s: SparkSession, d: str) -> DataFrame:
+    base = f"{shared_dir(s)}/stream-{uuid.uuid4().hex}"
+    schema, name = _records(s, d).schema, "scopus_records.parquet"
+    place = s._jvm.org.apache.hadoop.fs.Path(f"{d}/{name}")
+    # A stream watches a folder: the table itself, or the folder of a one-file table.
+    one_file = place.getFileSystem(s._jsc.hadoopConfiguration()).getFileStatus(place).isFile()
+    source, options = (d, {"pathGlobFilter": name}) if one_file else (f"{d}/{name}", {})
+    return ingest.ingest(s, source, f"{base}/table", f"{base}/checkpoint", schema, options=options).select("record_id", "doi")
+
+
 QUERIES = {
     "quality_reasons": lambda s, d: quality.flagged(_records(s, d)).select("record_id", "reason", "category"),
     "quality_reasons_strict": lambda s, d: quality.flagged(_records(s, d), strict=True).select("record_id", "reason", "category"),
@@ -222,6 +236,8 @@ QUERIES = {
     "upsert_ignore": lambda s, d: ids.insert_or_ignore(
         _t("events")(s, d).filter("event_id % 2 = 0").select("user_id", "event_type", "event_id", "value").transform(lambda x: ids.first_by(x, ["user_id", "event_type"], ["event_id"])),
         _t("events")(s, d).filter("event_id % 2 = 1").select("user_id", "event_type", "event_id", "value"), ["user_id", "event_type"], ["event_id"]),
+    "stream_ingest": _stream_ingest,
+    "event_windows": lambda s, d: ingest.windowed_counts(_t("events")(s, d)).select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "event_type", "events", F.round("total", 4).alias("total")),
     "json_properties": lambda s, d: _t("events")(s, d).select("event_id", F.md5("props").alias("props_key"), text.cache_key(F.col("event_type"), F.col("props")).alias("cache_key")),
 }
 
@@ -279,5 +295,7 @@ SQL = {
     "year_proximity": "SELECT proximity, count(*) AS pairs FROM (SELECT CASE WHEN lag IS NULL THEN 0::DOUBLE WHEN lag >= 0 THEN CASE WHEN lag <= 1 THEN 1.0::DOUBLE WHEN lag <= 3 THEN 0.8::DOUBLE WHEN lag <= 5 THEN 0.6::DOUBLE WHEN lag <= 10 THEN 0.3::DOUBLE ELSE 0.1::DOUBLE END ELSE CASE WHEN -lag <= 1 THEN 0.7::DOUBLE WHEN -lag <= 3 THEN 0.4::DOUBLE WHEN -lag <= 5 THEN 0.2::DOUBLE ELSE 0.1::DOUBLE END END AS proximity FROM (SELECT year(l_shipdate) - year(o_orderdate) AS lag FROM orders JOIN lineitem ON o_orderkey = l_orderkey)) GROUP BY 1",
     "upsert_replace": "WITH a AS (SELECT user_id, event_type, event_id, value FROM events WHERE event_id % 2 = 0 QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) = 1), b AS (SELECT user_id, event_type, event_id, value FROM events WHERE event_id % 2 = 1 QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1) SELECT * FROM b UNION ALL SELECT * FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.user_id = a.user_id AND b.event_type = a.event_type)",
     "upsert_ignore": "WITH a AS (SELECT user_id, event_type, event_id, value FROM events WHERE event_id % 2 = 0 QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) = 1), b AS (SELECT user_id, event_type, event_id, value FROM events WHERE event_id % 2 = 1 QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) = 1) SELECT * FROM a UNION ALL SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM a WHERE b.user_id = a.user_id AND b.event_type = a.event_type)",
+    "stream_ingest": f"WITH {_DEDUP} SELECT record_id, doi FROM d",
+    "event_windows": "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS events, round(sum(value), 4) AS total FROM events GROUP BY 1, 2",
     "json_properties": "SELECT event_id, md5(props) AS props_key, md5(event_type || ':' || props) AS cache_key FROM events",
 }
