@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -126,15 +127,16 @@ def subject_overlap(keywords: Column, *texts: Column) -> Column:
 # --- sequence ratios: no built-in equals them, so Arrow; pairs must be blocked before -----
 
 
+@lru_cache(maxsize=300_000)
 def ratio(a: str | None, b: str | None) -> float:
+    """Kept per worker: the same names meet in very many pairs."""
     return difflib.SequenceMatcher(None, a, b).ratio() if a and b else 0.0
 
 
 @F.pandas_udf(T.DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """[SIM-09, SIM-15] Matching characters of two strings, twice over their lengths."""
-    known: dict[tuple, float] = {}
-    return pd.Series([known[p] if p in known else known.setdefault(p, ratio(*p)) for p in zip(a, b, strict=True)], dtype="float64")
+    return pd.Series([ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
 @F.pandas_udf(T.DoubleType())

@@ -113,3 +113,36 @@ def stats(tables: dict[str, DataFrame]) -> DataFrame:
     for x in one[1:]:
         out = out.unionByName(x)
     return out
+
+
+def country_pairs(places: DataFrame, papers: DataFrame) -> DataFrame:
+    """[JOIN-17, AGG-29] Countries that publish together: papers and mean citations of each pair.
+    ``places(record_id, country)``; a paper's distinct countries are few, whatever its places."""
+    own = places.filter("country <> ''").select("record_id", "country").distinct()
+    a, b = own.withColumnRenamed("country", "country_a"), own.withColumnRenamed("country", "country_b")
+    pairs = a.join(b, "record_id").filter("country_a < country_b").join(papers.select("record_id", "cited_by"), "record_id")
+    return pairs.groupBy("country_a", "country_b").agg(F.count("*").alias("papers"), F.avg("cited_by").alias("mean_citations"))
+
+
+def keyword_trend(tokens: DataFrame, papers: DataFrame, least: int = 2) -> DataFrame:
+    """[JOIN-18, AGG-29] Papers and mean citations by keyword and year of keywords in ``least`` papers a year."""
+    own = tokens.select("record_id", "normalized_text").distinct().join(papers.select("record_id", "year", "cited_by"), "record_id")
+    agg = own.filter("year is not null").groupBy("normalized_text", "year").agg(F.count("*").alias("papers"), F.avg("cited_by").alias("mean_citations"))
+    return agg.filter(F.col("papers") >= least)
+
+
+def attempts(log: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """[WIN-09] Number of attempts and the last row of every key: an aggregation, not a window."""
+    last = F.max_by(F.struct(*[c for c in log.columns if c not in key]), F.struct(*order))
+    return log.groupBy(*key).agg(F.count("*").alias("attempts"), last.alias("last")).select(*key, "attempts", "last.*")
+
+
+def resume(items: DataFrame, log: DataFrame, key: str, order: list[str], done: str = "completed") -> DataFrame:
+    """[JOIN-06] Items whose last logged status is not ``done``."""
+    finished = attempts(log.select(key, "status", *order), [key], order).filter(F.col("status") == done).select(key)
+    return items.join(finished, key, "left_anti")
+
+
+def recovery_by_method(matched: DataFrame) -> DataFrame:
+    """[FLT-16]"""
+    return matched.groupBy("method").agg(F.count("*").alias("records"), F.avg("confidence").alias("mean_confidence"))

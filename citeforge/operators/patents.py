@@ -7,11 +7,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citeforge.functions.similarity import (
-    PATENT_THRESHOLDS, list_ratio, patent_confidence, sequence_ratio, subject_overlap, year_proximity,
+    PATENT_THRESHOLDS, list_ratio, name_overlap, patent_confidence, sequence_ratio, subject_overlap, year_proximity,
 )
-from citeforge.functions.text import clean_institution, clean_person, split_list, text, year_of
+from citeforge.functions.text import INSTITUTION_WORDS, clean_institution, clean_person, split_list, text, year_of
 from citeforge.operators.ids import first_by
 from citeforge.operators.nested import node_tables
+from citeforge.session import cut
 
 #: Flat columns of a patent and where the payload has them (fixed values).
 PAYLOAD_PATHS = {
@@ -86,9 +87,9 @@ def patent_table(patents: DataFrame) -> DataFrame:
     )
 
 
-def party_table(patents: DataFrame, kind: str) -> DataFrame:
+def party_table(patents: DataFrame, kind: str, tables: dict[str, DataFrame] | None = None) -> DataFrame:
     """Distinct parties of every patent: ``lens_id, name`` and what else is known of them."""
-    parties = node_tables(patents)[kind]
+    parties = (tables or node_tables(patents))[kind]
     ids = flat(patents).select("rec_id", "lens_id")
     extra = [c for c in parties.columns if c in ("residence", "type")]
     named = parties.filter(F.col("name").isNotNull() & ~F.col("name").isin("", MISSING)).join(ids, "rec_id")
@@ -139,35 +140,119 @@ def publications(records: DataFrame, id_col: str = "record_id") -> DataFrame:
     )
 
 
+def _parties(patents: DataFrame) -> dict[str, DataFrame]:
+    """``lens_id, name, cleaned`` of inventors and applicants, from one walk of the records."""
+    tables = node_tables(patents, written=True)
+    clean = {"inventor": clean_person, "applicant": clean_institution}
+    return {k: cut(party_table(patents, k, tables).select("lens_id", "name", f("name").alias("cleaned")), k) for k, f in clean.items()}
+
+
+def _wide(pairs: DataFrame, pubs: DataFrame, patents: DataFrame, parties: dict[str, DataFrame]) -> DataFrame:
+    """Candidate pairs with what all phases score: institutions, years, subjects, titles."""
+    applicants = parties["applicant"].groupBy("lens_id").agg(F.collect_set("cleaned").alias("applicants"))
+    inventors = parties["inventor"].groupBy("lens_id").agg(F.collect_set("cleaned").alias("inventors"))
+    rows = patent_table(patents).select("lens_id", F.col("title").alias("patent_title"), patent_year("publication_date").alias("patent_year"))
+    none = F.array().cast("array<string>")
+    return (
+        pairs.join(pubs, "pub_id")
+        .join(rows, "lens_id")
+        .join(applicants, "lens_id", "left")
+        .join(inventors, "lens_id", "left")
+        .withColumn("insts", F.transform("institution_list", lambda x: F.substring_index(x, ",", 1)))
+        .withColumn("inst_sim", list_ratio("insts", F.coalesce("applicants", none)))
+        .withColumn("inventors", F.coalesce("inventors", none))
+    )
+
+
+def _links(wide: DataFrame, kind: str, threshold: float | None, **scores: Column) -> DataFrame:
+    zero = F.lit(0.0)
+    subject = subject_overlap(F.slice("keywords", 1, 3), F.col("patent_title"))
+    score = patent_confidence(
+        kind, scores.get("name", zero), F.col("inst_sim"), year_proximity(F.col("year"), F.col("patent_year")), subject,
+        scores.get("author", zero), scores.get("title", zero),
+    )
+    least = PATENT_THRESHOLDS[kind] if threshold is None else threshold
+    return wide.select("pub_id", "lens_id", F.lit(kind).alias("link_type"), score.alias("confidence")).filter(F.col("confidence") >= least)
+
+
+def _first_last(name: Column | str) -> Column:
+    """``Last, First`` as ``First Last``, cleaned."""
+    parts = F.split(name, ",")
+    return clean_person(F.concat_ws(" ", F.when(F.size(parts) > 1, F.element_at(parts, -1)), parts[0]))
+
+
 def link_by_authors(records: DataFrame, patents: DataFrame, id_col: str = "record_id", most: int = 5, threshold: float | None = None) -> DataFrame:
     """[JOIN-13, PIPE-15] ``pub_id, lens_id, link_type, confidence`` of the author phase.
 
     Blocked by the family name of the first ``most`` authors and the inventors; the score is
-    the weighted sum of name, institution, year and subject similarity. Names are cleaned once
-    per distinct spelling, pairs are scored once per pair of publication and patent."""
+    the weighted sum of name, institution, year and subject similarity. A pair of publication
+    and patent is scored once, with its best pair of names."""
     pubs = publications(records, id_col)
-    inventors = party_table(patents, "inventor").select("lens_id", clean_person("name").alias("inventor"))
-    inventors = inventors.filter("inventor <> ''").withColumn("family", F.lower(F.element_at(F.split("inventor", " "), -1)))
+    family = lambda c: F.lower(F.element_at(F.split(c, " "), -1))
+    parties = _parties(patents)
+    inventors = parties["inventor"].select("lens_id", F.col("cleaned").alias("inventor")).filter("inventor <> ''")
     people = pubs.select("pub_id", F.explode(F.slice("author_list", 1, most)).alias("author"))
-    people = people.withColumn("cleaned", clean_person(F.concat_ws(" ", F.element_at(F.split("author", ","), -1), F.element_at(F.split("author", ","), 1))))
-    people = people.filter("cleaned <> ''").withColumn("family", F.lower(F.element_at(F.split("cleaned", " "), -1)))
+    people = people.withColumn("cleaned", _first_last("author")).filter("cleaned <> ''")
     pairs = (
-        people.join(inventors, "family")
+        people.withColumn("family", family("cleaned"))
+        .join(inventors.withColumn("family", family("inventor")), "family")
         .withColumn("sim", sequence_ratio("cleaned", "inventor"))
         .groupBy("pub_id", "lens_id")
         .agg(F.max("sim").alias("name_sim"))
     )
-    applicants = party_table(patents, "applicant").groupBy("lens_id").agg(F.collect_set(clean_institution("name")).alias("applicants"))
-    rows = patent_table(patents).select("lens_id", F.col("title").alias("patent_title"), patent_year("publication_date").alias("patent_year"))
-    wide = (
-        pairs.join(pubs, "pub_id")
-        .join(rows, "lens_id")
-        .join(applicants, "lens_id", "left")
-        .withColumn("insts", F.transform("institution_list", lambda x: F.substring_index(x, ",", 1)))
-        .withColumn("inst_sim", list_ratio("insts", F.coalesce("applicants", F.array().cast("array<string>"))))
-    )
-    subject = subject_overlap(F.slice("keywords", 1, 3), F.col("patent_title"))
-    zero = F.lit(0.0)
-    score = patent_confidence("author_match", F.col("name_sim"), F.col("inst_sim"), year_proximity(F.col("year"), F.col("patent_year")), subject, zero, zero)
-    least = PATENT_THRESHOLDS["author_match"] if threshold is None else threshold
-    return wide.select("pub_id", "lens_id", F.lit("author_match").alias("link_type"), score.alias("confidence")).filter(F.col("confidence") >= least)
+    return _links(_wide(pairs, pubs, patents, parties), "author_match", threshold, name=F.col("name_sim"))
+
+
+def link_by_institutions(records: DataFrame, patents: DataFrame, id_col: str = "record_id", most: int = 3, threshold: float | None = None) -> DataFrame:
+    """[SIM-17] The institution phase: one of the first ``most`` institutions and an applicant
+    have the same rarest word of five letters and more that names no kind of institution."""
+    pubs = publications(records, id_col)
+    kinds = "|".join([*INSTITUTION_WORDS, "institut", "hospital", "technical", "department", "faculty"])
+    telling = F.filter(F.split(F.lower("name"), "[^a-z0-9]+"), lambda w: (F.length(w) >= 5) & ~w.rlike(kinds))
+    left = pubs.select("pub_id", F.explode(F.slice("institution_list", 1, most)).alias("raw")).withColumn("name", clean_institution("raw"))
+    parties = _parties(patents)
+    right = parties["applicant"].select("lens_id", F.col("cleaned").alias("name"))
+    names = cut(left.select("name").union(right.select("name")).filter("name <> ''").distinct(), "institution-names")
+    words = names.select("name", F.explode(F.array_distinct(telling)).alias("word"))
+    spread = words.groupBy("word").agg(F.count("*").alias("n"))
+    rarest = words.join(spread, "word").groupBy("name").agg(F.min_by("word", F.struct("n", "word")).alias("word"))
+    rarest = cut(rarest, "institution-words")
+    a = left.join(rarest, "name").select("pub_id", "word").distinct()
+    pairs = a.join(right.join(rarest, "name").select("lens_id", "word").distinct(), "word").select("pub_id", "lens_id").distinct()
+    wide = _wide(pairs, pubs, patents, parties).withColumn("people", F.transform("author_list", lambda a: F.lower(F.substring_index(a, ",", 1))))
+    author = name_overlap("people", F.transform("inventors", lambda n: F.lower(F.element_at(F.split(n, " "), -1))))
+    return _links(wide, "institution_match", threshold, author=author)
+
+
+def link_by_subjects(records: DataFrame, patents: DataFrame, id_col: str = "record_id", most: int = 3, threshold: float | None = None) -> DataFrame:
+    """[SIM-18] The subject phase: a patent's title holds one of the first ``most`` keywords."""
+    pubs = publications(records, id_col)
+    keys = pubs.select("pub_id", F.explode(F.slice("keywords", 1, most)).alias("k")).withColumn("k", F.lower("k")).withColumn("word", F.split("k", " ")[0])
+    titles = patent_table(patents).select("lens_id", F.lower("title").alias("t")).withColumn("word", F.explode(F.array_distinct(F.split("t", " "))))
+    pairs = keys.join(titles, "word").filter(F.contains("t", "k")).select("pub_id", "lens_id").distinct()
+    return _links(_wide(pairs, pubs, patents, _parties(patents)), "subject_match", threshold, title=sequence_ratio(F.lower("title"), F.lower("patent_title")))
+
+
+def link_all(records: DataFrame, patents: DataFrame, phases: dict[str, bool], id_col: str = "record_id") -> DataFrame:
+    """[PIPE-15] The enabled phases; of a publication, patent and kind the best confidence."""
+    by = {"authors": link_by_authors, "institutions": link_by_institutions, "subjects": link_by_subjects}
+    parts = [f(records, patents, id_col) for name, f in by.items() if phases.get(name)]
+    if not parts:
+        raise ValueError("no phase is enabled")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy("pub_id", "lens_id", "link_type").agg(F.max("confidence").alias("confidence"))
+
+
+def detail(patents: DataFrame, lens_id: str) -> DataFrame:
+    """[SRC-15] The flat record of one patent, its first delivery."""
+    return first_by(flat(patents).filter(F.col("lens_id") == lens_id), ["lens_id"], ["rec_id"])
+
+
+def field_presence(patents: DataFrame) -> DataFrame:
+    """[SRC-25] ``field, present, total`` of the flat fields: how many records have each."""
+    rows = flat(patents)
+    counts = rows.agg(F.count("*").alias("total"), *[F.count(known(c)).alias(c) for c in PAYLOAD_PATHS])
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("present")) for c in PAYLOAD_PATHS]))
+    return counts.select("total", each.alias("e")).select("e.field", "e.present", "total")

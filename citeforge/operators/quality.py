@@ -117,3 +117,15 @@ def plausible_year(c: str) -> Column:
     """[FLT-08]"""
     y = safe_int(c)
     return F.when(y.between(2000, 2030), y).cast("int")
+
+
+def exclusions_by_year(df: DataFrame, strict: bool = False) -> DataFrame:
+    """[AGG-28] Records and excluded records of every year."""
+    y = safe_int("pub_year").cast("int")
+    flags = flagged(df, strict).select(y.alias("year"), F.col("reason").isNotNull().alias("out"))
+    return flags.groupBy("year").agg(F.count("*").alias("records"), F.count(F.when(F.col("out"), 1)).alias("excluded"))
+
+
+def exclusion_samples(df: DataFrame, order: str, strict: bool = False) -> DataFrame:
+    """[WIN-08] The first excluded record of every category."""
+    return first_by(excluded(df, strict).select(order, "category", "reason", "title"), ["category"], [order])

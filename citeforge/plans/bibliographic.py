@@ -147,6 +147,10 @@ def _match_title(s: SparkSession, d: str) -> DataFrame:
     return matching.best(matching.scored(matching.candidates(left, right, "title"), "title"))
 
 
+def _cited(s: SparkSession, d: str) -> DataFrame:
+    return _kept(s, d).select("record_id", text.safe_int("pub_year").cast("int").alias("year"), text.safe_int("cited_by", 0).cast("int").alias("cited_by"))
+
+
 def _stream_ingest(s: SparkSession, d: str) -> DataFrame:
     base = f"{shared_dir(s)}/stream-{uuid.uuid4().hex}"
     schema, name = _records(s, d).schema, "scopus_records.parquet"
@@ -207,6 +211,19 @@ QUERIES = {
     "citing_lookup": lambda s, d: patents.citing(_patents(s, d), _records(s, d).select("doi")),
     "patent_search": lambda s, d: patents.search(_patents(s, d), title_words=["micropump"], size=25),
     "author_links": lambda s, d: patents.link_by_authors(_kept(s, d), _patents(s, d)),
+    "institution_links": lambda s, d: patents.link_by_institutions(_kept(s, d), _patents(s, d)),
+    "subject_links": lambda s, d: patents.link_by_subjects(_kept(s, d), _patents(s, d)),
+    "patent_field_presence": lambda s, d: patents.field_presence(_patents(s, d)),
+    "country_pairs": lambda s, d: analytics.country_pairs(entities.institution_tokens(_kept(s, d), ORDER), _cited(s, d)),
+    "keyword_trend": lambda s, d: analytics.keyword_trend(entities.keyword_tokens(_kept(s, d), ORDER), _cited(s, d)),
+    "attempts": lambda s, d: analytics.attempts(_t("events")(s, d).select("user_id", "event_type", "event_id", "value"), ["user_id", "event_type"], ["event_id"]),
+    "resume": lambda s, d: analytics.resume(
+        _t("customer")(s, d).select(F.col("c_custkey").alias("user_id")), _t("events")(s, d).select("user_id", F.col("event_type").alias("status"), "event_id"), "user_id", ["event_id"], "click"),
+    "exclusions_by_year": lambda s, d: quality.exclusions_by_year(_records(s, d)),
+    "exclusion_samples": lambda s, d: quality.exclusion_samples(_records(s, d), ORDER),
+    "orphaned_works": lambda s, d: coverage.orphans(
+        _works(s, d).select("work_id", F.lower(F.try_element_at("container_title", F.lit(1))).alias("journal")).filter("journal is not null"),
+        _t("journals")(s, d).select(F.lower("source_title").alias("journal")), "journal"),
     "innovation_links": _links,
     "innovation_metrics": lambda s, d: analytics.innovation_metrics(_pubs(s, d), _links(s, d)),
     "confidence_histogram": lambda s, d: analytics.confidence_histogram(_links(s, d)),
@@ -278,6 +295,14 @@ SQL = {
     "patent_summary": f"WITH {_FLAT}, u AS (SELECT * FROM flat QUALIFY row_number() OVER (PARTITION BY lens_id ORDER BY rec_id) = 1) SELECT 'jurisdiction' AS dimension, jurisdiction AS value, count(*) AS patents FROM u GROUP BY 2 UNION ALL SELECT 'legal_status', legal_status, count(*) FROM u GROUP BY 2",
     "patent_filing_range": f"WITH {_FLAT} SELECT min(filing_date) AS first_filing, max(filing_date) AS last_filing FROM flat WHERE filing_date <> 'N/A'",
     "patent_search": f"WITH {_FLAT}, {_PATENT_ROWS} SELECT * FROM pr WHERE contains(lower(title), 'micropump') ORDER BY publication_date DESC, lens_id LIMIT 25",
+    "patent_field_presence": f"WITH {_FLAT} " + " UNION ALL ".join(f"SELECT '{c}' AS field, count(*) FILTER ({c} <> 'N/A') AS present, count(*) AS total FROM flat" for c in patents.PAYLOAD_PATHS),
+    "country_pairs": f"WITH {_KEPT}, {_INST_TOKENS}, c AS (SELECT DISTINCT record_id, country FROM it WHERE country <> '') SELECT a.country AS country_a, b.country AS country_b, count(*) AS papers, avg(coalesce({_INT('cited_by')}, 0)) AS mean_citations FROM c a JOIN c b ON a.record_id = b.record_id AND a.country < b.country JOIN kept k ON k.record_id = a.record_id GROUP BY 1, 2",
+    "keyword_trend": f"WITH {_KEPT}, {_KW_TOKENS} SELECT normalized_text, CAST({_INT('pub_year')} AS INTEGER) AS year, count(*) AS papers, avg(coalesce({_INT('cited_by')}, 0)) AS mean_citations FROM (SELECT DISTINCT record_id, normalized_text FROM kt) t JOIN kept USING (record_id) WHERE {_INT('pub_year')} IS NOT NULL GROUP BY 1, 2 HAVING papers >= 2",
+    "attempts": "SELECT user_id, event_type, count(*) AS attempts, max(event_id) AS event_id, arg_max(value, event_id) AS value FROM events GROUP BY 1, 2",
+    "resume": "SELECT c_custkey AS user_id FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events GROUP BY 1 HAVING arg_max(event_type, event_id) = 'click')",
+    "exclusions_by_year": f"SELECT CAST({_INT('pub_year')} AS INTEGER) AS year, count(*) AS records, count({_reason(False)}) AS excluded FROM scopus_records GROUP BY 1",
+    "exclusion_samples": f"SELECT record_id, split_part(reason, ':', 1) AS category, reason, title FROM (SELECT *, {_reason(False)} AS reason FROM scopus_records) WHERE reason IS NOT NULL QUALIFY row_number() OVER (PARTITION BY reason ORDER BY record_id) = 1",
+    "orphaned_works": "SELECT work_id, lower(container_title[1]) AS journal FROM crossref_works WHERE container_title[1] IS NOT NULL AND NOT EXISTS (SELECT 1 FROM journals WHERE lower(source_title) = lower(container_title[1]))",
     "innovation_links": f"{_INNO} SELECT * FROM links",
     "innovation_metrics": f"{_INNO} SELECT (SELECT count(*) FROM pubs) AS publications, count(DISTINCT pub_id) AS with_patents, count(DISTINCT lens_id) AS patents, count(*) AS links, count(DISTINCT pub_id) * 100.0::DOUBLE / (SELECT count(*) FROM pubs) AS conversion_rate FROM links",
     "confidence_histogram": f"{_INNO} SELECT CASE WHEN confidence >= 0.8 THEN 'high' WHEN confidence >= 0.6 THEN 'medium' ELSE 'low' END AS band, count(*) AS links FROM links GROUP BY 1",
