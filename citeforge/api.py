@@ -10,6 +10,7 @@ from citeforge import reports
 from citeforge.config import load
 from citeforge.operators import coverage, details, entities, quality
 from citeforge.operators.ids import dense_ids
+from citeforge.schemas import KEYS, conform
 from citeforge.session import cut
 from citeforge.sources import exports
 from citeforge.sources.store import Store, new_files
@@ -38,21 +39,24 @@ class Engine:
         flags = quality.flagged(unique, wanted["strict"], wanted["enabled"])
         self.store.write("exclusions", flags.filter("reason is not null"))
         kept = self.store.write("records", flags.filter("reason is null").drop("reason", "category"))
-        papers = self.store.write("papers", entities.papers(kept, ORDER))
+        numbered_papers = cut(entities.papers(kept, ORDER), "papers")
+        self.store.write("papers", conform(numbered_papers, "papers"))
+        papers = numbered_papers
         authors = self.store.write("authors_master", entities.authors(kept, ORDER))
         places = self.store.write("institutions_master", entities.institutions(kept, ORDER))
         words = self.store.write("keywords_master", entities.keywords(kept, ORDER))
         bridge = lambda rows, master, key, id_col: entities.with_ids(rows, papers, ORDER, master, key, id_col)
-        self.store.write("paper_authors", bridge(entities.paper_authors(kept, ORDER), authors, "scopus_id", "author_id"))
-        self.store.write("paper_institutions", bridge(entities.paper_institutions(kept, ORDER), places, "canonical_name", "institution_id"))
-        self.store.write("paper_keywords", bridge(entities.paper_keywords(kept, ORDER), words, "normalized_text", "keyword_id"))
+        put = lambda name, df: self.store.write(name, conform(df, name))
+        put("paper_authors", bridge(entities.paper_authors(kept, ORDER), authors, "scopus_id", "author_id"))
+        put("paper_institutions", bridge(entities.paper_institutions(kept, ORDER), places, "canonical_name", "institution_id"))
+        put("paper_keywords", bridge(entities.paper_keywords(kept, ORDER), words, "normalized_text", "keyword_id"))
         of_paper = papers.select(ORDER, "paper_id")
         for name, rows in {
             "paper_citations": details.references(kept, ORDER), "paper_funding": details.funding(kept, ORDER),
             "paper_chemicals": details.chemicals(kept, ORDER), "paper_trade_names": details.trade_names(kept, ORDER),
             "paper_correspondence": details.correspondences(kept, ORDER), "paper_open_access": details.access(kept, ORDER),
         }.items():
-            self.store.write(name, rows.join(of_paper, ORDER).drop(ORDER))
+            put(name, rows.join(of_paper, ORDER))
         return self.store.counts()
 
     def validate(self) -> list[dict]:
@@ -63,8 +67,7 @@ class Engine:
                 coverage.same_count("paper_count", t("papers"), t("records")),
                 coverage.no_orphans("paper_authors", t("paper_authors"), t("papers"), "paper_id"),
                 coverage.no_orphans("paper_keywords", t("paper_keywords"), t("papers"), "paper_id"),
-                coverage.unique_key("papers_key", t("papers"), ["paper_id"]),
-                coverage.unique_key("paper_authors_key", t("paper_authors"), ["paper_id", "author_id"]),
+                *[coverage.unique_key(f"{n}_key", t(n), k) for n, k in KEYS.items() if self.store.exists(n)],
                 coverage.not_empty("references", t("paper_citations"), t("records").filter("trim(ref_list) <> ''")),
                 coverage.not_empty("papers", t("papers")),
                 coverage.few_blank("titles", t("papers"), "title"),
