@@ -16,8 +16,9 @@ and the most frequent admissible word wins.
 A chunk is damaged if it holds a replacement or C1 control character; or if its bytes read
 as plausible UTF-8 under some channel, which true text does not do by chance; or if a channel
 between two one-byte encodings leads to a much more frequent chunk; or if it holds a sign
-that cannot stand between letters and some channel explains it. Foreign letters, HTML
-entities and unaccented spellings leave no trace under any of these.
+that cannot stand between letters and some channel explains it. Numeric HTML entities count
+as the characters they name, so wrong characters written that way are found as well. Foreign
+letters, entities of right characters and unaccented spellings leave no trace under these.
 
 Defined cases: null and empty cells have no chunks and are never found; what can't be
 restored is found with its original text; long cells are read whole; extra columns are ignored.
@@ -48,7 +49,10 @@ LEAD = 3
 LOST = "�"
 
 _ASCII_CUT = r"\x00-\x20!-/:-@\[-`{-\x7f"
-CHUNK = rf"[^{_ASCII_CUT}]*[^\x00-\x7f][^{_ASCII_CUT}]*"
+#: Characters written as numeric entities belong to the chunk they stand in.
+_NUMBER = r"&#[0-9]{3,5};"
+CHUNK = rf"(?:[^{_ASCII_CUT}]|{_NUMBER})*(?:[^\x00-\x7f]|{_NUMBER})(?:[^{_ASCII_CUT}]|{_NUMBER})*"
+_ENTITY = re.compile("&#([0-9]{3,5});")
 _HARD = re.compile("[�\x80-\x9f]")
 _LATIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ſ]")
 _GREEK = re.compile(r"[Α-ω]")
@@ -59,6 +63,11 @@ _SIGN = r"[Ͱ-ΐΘΣΦπστЀ-ӿˆ-˝∀-⋿⌐─-◿ⁿ√‡‰¬¸·¯¿¡
 _ALIEN = re.compile(rf"[A-Za-z]{_SIGN}|{_SIGN}[A-Za-z]|[a-z][À-ÖØ-Þ](?![a-zß-ÿ])")
 
 
+def characters(text: str) -> str:
+    """Numeric entities as the characters they name."""
+    return _ENTITY.sub(lambda m: chr(int(m[1])), text) if "&#" in text else text
+
+
 def undo(text: str, true: str, wrong: str) -> str | None:
     """The text read again: its bytes under ``wrong``, decoded as ``true``; None if impossible."""
     raw = bytearray()
@@ -88,6 +97,7 @@ def plausible(text: str) -> bool:
 
 def readings(chunk: str) -> list[tuple[str, str]]:
     """``(channel, text)`` of every plausible path through the lattice without lost bytes."""
+    chunk = characters(chunk)
     out: list[tuple[str, str]] = []
     if LOST in chunk:
         return out
@@ -109,7 +119,7 @@ def readings(chunk: str) -> list[tuple[str, str]]:
 def admits(damaged: str, word: str) -> bool:
     """True if ``damaged`` can be ``word`` with some bytes lost: every character of the word is
     there, or stands for one lost character or for as many lost bytes as its UTF-8 form has."""
-    ends = {0}
+    damaged, ends = characters(damaged), {0}
     for c in word:
         bytes_of = len(c.encode("utf-8", "replace"))
         after = set()
@@ -131,20 +141,21 @@ def skeleton(col):
 def cells(records: DataFrame, fields: list[str], id_col: str = "record_id") -> DataFrame:
     """``id_col, field_name, chunk``: the distinct chunks of every cell."""
     pairs = [F.struct(F.lit(f).alias("field_name"), F.col(f).alias("cell")) for f in fields]
-    flat = records.select(id_col, F.inline(F.array(*pairs))).filter(F.col("cell").rlike(r"[^\x00-\x7f]"))
+    flat = records.select(id_col, F.inline(F.array(*pairs))).filter(F.col("cell").rlike(rf"[^\x00-\x7f]|{_NUMBER}"))
     chunks = F.array_distinct(F.regexp_extract_all("cell", F.lit(f"({CHUNK})"), F.lit(1)))
     return flat.select(id_col, "field_name", F.explode(chunks).alias("chunk"))
 
 
 def _judge(batches: Iterator[pa.RecordBatch]):
-    names = ["chunk", "n", "hard", "alien", "channel", "reading"]
-    types = [pa.string(), pa.int64(), pa.bool_(), pa.bool_(), pa.string(), pa.string()]
+    names = ["chunk", "plain", "n", "hard", "alien", "channel", "reading"]
+    types = [pa.string(), pa.string(), pa.int64(), pa.bool_(), pa.bool_(), pa.string(), pa.string()]
     for batch in batches:
         cols: list[list] = [[] for _ in names]
         for chunk, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            plain = characters(chunk)
             found = readings(chunk) or [(None, None)]
             for channel, text in found:
-                row = (chunk, n, bool(_HARD.search(chunk)), bool(_ALIEN.search(chunk)), channel, text)
+                row = (chunk, plain, n, bool(_HARD.search(plain)), bool(_ALIEN.search(plain)), channel, text)
                 for col, v in zip(cols, row, strict=True):
                     col.append(v)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
@@ -158,10 +169,13 @@ def _admits(damaged: str, word: str) -> bool:
 def verdicts(chunks: DataFrame) -> DataFrame:
     """``chunk, restored`` of every damaged chunk; ``restored`` is null if nothing fits."""
     counts = cut(chunks.groupBy("chunk").agg(F.count("*").alias("n")), "chunk-counts")
-    read = counts.mapInArrow(_judge, "chunk string, n long, hard boolean, alien boolean, channel string, reading string")
+    read = counts.mapInArrow(_judge, "chunk string, plain string, n long, hard boolean, alien boolean, channel string, reading string")
     read = cut(read, "chunk-readings")
     known = counts.select(F.col("chunk").alias("reading"), F.col("n").alias("known"))
     weighed = read.filter(F.col("channel").isNotNull() | F.col("hard")).join(known, "reading", "left")
+    # What is written with entities is as frequent as the characters it names.
+    as_read = known.select(F.col("reading").alias("plain"), F.col("known").alias("as_plain"))
+    weighed = weighed.join(as_read, "plain", "left").withColumn("n", F.greatest("n", F.coalesce("as_plain", F.lit(0))))
     score = F.coalesce("known", F.lit(0))
     sure = (F.col("channel") == "utf-8") | F.col("alien") | F.col("hard")
     # A quotation mark beside a plain word needs no lead: no word ends or begins in its reading.

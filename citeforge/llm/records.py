@@ -12,7 +12,7 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from citeforge.llm.encoding import readings
+from citeforge.llm.encoding import characters, readings
 from citeforge.llm.names import distance, fold
 
 #: Greek letters as they are spelled out (fixed values).
@@ -58,6 +58,7 @@ def plain(text: str | None) -> str:
     """Lower-case words of ASCII letters and digits, one blank apart."""
     if not text:
         return ""
+    text = characters(text)
     if not text.isascii():
         text = repair(text)
     if "&" in text:

@@ -37,14 +37,16 @@ def test_tables(spark):
         (101, "M�ller; Miller", None, "RagaffÃ§Ã£o &uuml; Muller"),
         (102, "Mьller", "RagaffÃƒÂ§ÃƒÂ£o", None),
         (103, "Zx�qq", None, "long " * 30_000 + "MÃ¼ller"),
+        (104, "M&#195;&#188;ller", "M&#252;ller &#8211; caf&#233;", None),
     ]
     df = spark.createDataFrame(rows, "record_id long, authors string, affiliations string, title string").selectExpr("*", "'clash' as chunk")
     fields = ["authors", "affiliations", "title"]
     assert sorted(map(tuple, e.found(df, fields).collect())) == [
-        (100, "authors"), (101, "authors"), (101, "title"), (102, "affiliations"), (102, "authors"), (103, "authors"), (103, "title"),
+        (100, "authors"), (101, "authors"), (101, "title"), (102, "affiliations"), (102, "authors"), (103, "authors"), (103, "title"), (104, "authors"),
     ]
     fixed = {(r["record_id"], r["field_name"]): (r["restored"], r["complete"]) for r in e.restored(df, fields).collect()}
     assert fixed[100, "authors"] == ("Müller, J.", True) and fixed[101, "authors"] == ("Müller; Miller", True)
     assert fixed[101, "title"] == ("Ragaffção &uuml; Muller", True) and fixed[102, "authors"] == ("Müller", True)
     assert fixed[102, "affiliations"] == ("Ragaffção", True) and fixed[103, "authors"] == ("Zx�qq", False)
+    assert fixed[104, "authors"] == ("Müller", True)
     assert e.found(df.limit(0), fields).count() == 0
