@@ -260,7 +260,33 @@ QUERIES = {
 
 _SIM = lambda a, b: f"(CASE WHEN len({a}) > 0 AND len({b}) > 0 THEN len(list_intersect({a}, {b})) / len(list_distinct(list_concat({a}, {b}))) ELSE 0::DOUBLE END)"
 
+_HEAD = "split_part(v, ',', 1)"
+_D = lambda x: f"({x})::DOUBLE"
+_LAST = lambda x: f"list_distinct(list_transform(list_filter({_LIST(x)}, lambda v: contains(v, ',')), lambda v: lower({_STRIP(_HEAD)})))"
+_MATCH = f"""WITH l AS (SELECT record_id, title, authors, pub_year AS year, volume, source_title AS journal, page_start,
+    regexp_replace({_TXT('page_start')} || '-' || {_TXT('page_end')}, '^-+|-+$', '', 'g') AS pages FROM scopus_records),
+  r AS (SELECT work_id, title[1] AS w_title, CAST(published.date_parts[1][1] AS VARCHAR) AS w_year, volume AS w_volume, page AS w_pages, container_title[1] AS w_journal,
+    array_to_string(list_transform(coalesce(author, []), lambda a: CASE WHEN coalesce(a.given, '') <> '' THEN coalesce(a.family, '') || ', ' || substr(a.given, 1, 1) || '.' ELSE coalesce(a.family, '') END), '; ') AS w_authors FROM crossref_works),
+  lk AS (SELECT *, lower({_STRIP(_TXT('journal'))}) || '|' || {_STRIP(_TXT('volume'))} || '|' || split_part(page_start, '-', 1) AS k FROM l WHERE {_STRIP(_TXT('volume'))} <> '' AND {_TXT('page_start')} <> ''),
+  rk AS (SELECT *, lower({_STRIP(_TXT('w_journal'))}) || '|' || {_STRIP(_TXT('w_volume'))} || '|' || split_part(w_pages, '-', 1) AS k FROM r WHERE {_STRIP(_TXT('w_volume'))} <> '' AND {_TXT('w_pages')} <> ''),
+  p AS (SELECT record_id, work_id, {_WORDS(f"lower({_TXT('title')})")} AS tw, {_WORDS(f"lower({_TXT('w_title')})")} AS ww, {_LAST('authors')} AS la, {_LAST('w_authors')} AS lb,
+    {_STRIP(_TXT('year'))} <> '' AND {_TXT('w_year')} <> '' AS known_year, {_STRIP(_TXT('year'))} = {_TXT('w_year')} AS years, {_STRIP(_TXT('volume'))} = {_TXT('w_volume')} AS volume_match,
+    {_TXT('pages')} <> '' AND contains({_TXT('w_pages')}, {_TXT('pages')}) AS pages_match FROM lk JOIN rk USING (k)),
+  q AS (SELECT *, {_SIM('tw', 'ww')} AS title_sim, {_SIM('la', 'lb')} AS author_sim, known_year AND years AS year_match FROM p)
+SELECT record_id, work_id, least(greatest({_D(0.85)} + CASE WHEN year_match THEN {_D(0.1)} WHEN known_year THEN {_D(-0.3)} ELSE {_D(-0.1)} END
+    + CASE WHEN title_sim > 0.8 THEN {_D(0.1)} WHEN title_sim < 0.5 THEN {_D(-0.2)} ELSE {_D(0.0)} END
+    + CASE WHEN author_sim > 0.5 THEN {_D(0.1)} WHEN author_sim < 0.2 AND len(la) > 0 AND len(lb) > 0 THEN {_D(-0.1)} ELSE {_D(0.0)} END
+    + CASE WHEN volume_match AND pages_match THEN {_D(0.1)} WHEN NOT volume_match THEN {_D(-0.2)} ELSE {_D(0.0)} END, {_D(0)}), {_D(1)}) AS confidence,
+  title_sim, author_sim, year_match, volume_match, pages_match FROM q"""
+_POPULATION = f"""WITH {_KEPT}, {_AUTHOR_TOKENS}, {_INST_TOKENS}, {_KW_TOKENS},
+  e AS (SELECT item, count(DISTINCT token) AS expected FROM ({" UNION ALL ".join(f"SELECT '{n}' AS item, unnest({_LIST(c)}) AS token FROM kept" for n, c in {"authors": "author_ids", "affiliations": "affiliations", "author_keywords": "author_keywords", "index_keywords": "index_keywords"}.items())}) GROUP BY 1),
+  a AS (SELECT 'authors' AS item, count(DISTINCT scopus_id) AS actual FROM atok UNION ALL SELECT 'affiliations', count(DISTINCT canonical_name) FROM it UNION ALL SELECT 'author_keywords', count(DISTINCT normalized_text) FROM kt WHERE pass = 0)
+SELECT item, expected, coalesce(actual, 0) AS actual, rate, CASE WHEN coalesce(actual, 0) = 0 THEN 'CRITICAL_FAIL' WHEN rate < 50 THEN 'FAIL' WHEN rate < 90 THEN 'WARNING' ELSE 'PASS' END AS status
+FROM (SELECT *, CASE WHEN expected > 0 THEN coalesce(actual, 0) * {_D('100.0')} / expected ELSE 0 END AS rate FROM e LEFT JOIN a USING (item))"""
+
 SQL = {
+    "match_by_journal": _MATCH,
+    "population": _POPULATION,
     "quality_reasons": f"SELECT record_id, reason, CASE WHEN reason IS NOT NULL THEN split_part(reason, ':', 1) END AS category FROM (SELECT record_id, {_reason(False)} AS reason FROM scopus_records)",
     "quality_reasons_strict": f"SELECT record_id, reason, CASE WHEN reason IS NOT NULL THEN split_part(reason, ':', 1) END AS category FROM (SELECT record_id, {_reason(True)} AS reason FROM scopus_records)",
     **{
