@@ -95,6 +95,24 @@ def plausible(text: str) -> bool:
     return not _ALIEN.search(text)
 
 
+def patched(text: str, wrong: str) -> str | None:
+    """The text with those spans read again that are one UTF-8 character under ``wrong``, the
+    rest kept: for chunks of which a part was damaged. None if there is no such span."""
+    out, i, changed = [], 0, False
+    while i < len(text):
+        for n in (3, 2) if ord(text[i]) > 127 else ():
+            span = text[i : i + n]
+            c = undo(span, "utf-8", wrong) if len(span) == n and all(ord(x) > 127 for x in span) else None
+            if c is not None and len(c) == 1 and _KNOWN.match(c):
+                out.append(c)
+                i, changed = i + n, True
+                break
+        else:
+            out.append(text[i])
+            i += 1
+    return "".join(out) if changed else None
+
+
 def readings(chunk: str) -> list[tuple[str, str]]:
     """``(channel, text)`` of every plausible path through the lattice without lost bytes."""
     chunk = characters(chunk)
@@ -109,6 +127,9 @@ def readings(chunk: str) -> list[tuple[str, str]]:
             out.append(("utf-8", text))
         again = [undo(text, "utf-8", w) for w in ("cp1252", "latin-1")]
         out += [("utf-8", t) for t in again if t is not None and plausible(t)]
+    if not out and sum(ord(c) > 127 for c in chunk) > 2:
+        parts = [patched(chunk, wrong) for wrong in READ_AS]
+        out += [("utf-8", t) for t in parts if t is not None and plausible(t)]
     for true, wrong in ONE_BYTE:
         text = undo(chunk, true, wrong)
         if text is not None and plausible(text) and not (_CASE.search(text) and not _CASE.search(chunk)):

@@ -50,3 +50,9 @@ def test_tables(spark):
     assert fixed[102, "affiliations"] == ("Ragaffção", True) and fixed[103, "authors"] == ("Zx�qq", False)
     assert fixed[104, "authors"] == ("Müller", True)
     assert e.found(df.limit(0), fields).count() == 0
+
+
+def test_partly_damaged_chunks():
+    assert ("utf-8", "l’échantillon") in e.readings("l‚Äô&#233;chantillon")
+    assert ("utf-8", "Größe") in e.readings("GrÃ¶ße")
+    assert e.patched("Größe", "cp1252") is None and e.patched("l’é", "mac_roman") is None
