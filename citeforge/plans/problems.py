@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from citeforge.operators import nested
 from citeforge.sources import rejects
@@ -16,6 +17,12 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return nested.child_rows(_table(spark, folder, "citing_patents_analysis"))
 
 
+def p1_intervals(spark: SparkSession, folder: str) -> DataFrame:
+    nodes = nested.label_nodes(_table(spark, folder, "citing_patents_analysis"), attrs=False)
+    flat = nodes.select("rec_id", F.explode("nodes").alias("n"))
+    return flat.select("rec_id", F.col("n.kind").alias("kind"), F.col("n.place").alias("child_no"), F.col("n.pre").alias("pre"), F.col("n.post").alias("post"))
+
+
 def _p1_table(kind: str):
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return nested.node_tables(_table(spark, folder, "citing_patents_analysis"))[kind]
@@ -38,6 +45,7 @@ def p4_loaded(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found,
+    "p1_intervals": p1_intervals,
     "p1_external_ids_linked": p1_external_ids_linked,
     **{f"p1_{kind}s": _p1_table(kind) for kind in nested.KINDS},
     "p4_found": p4_found,
@@ -108,8 +116,19 @@ _P4_REASON = r"""CASE WHEN raw_line IS NULL THEN 'columns' WHEN broken THEN 'quo
     OR NOT regexp_full_match(f[11], '[0-9]*') OR NOT regexp_full_match(f[12], '[0-9]*')
     OR regexp_matches(raw_line, '[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]') THEN 'value' END"""
 
+#: A node's pre-order number is its place in the walk; post = pre + size - 1 - depth.
+_P1_INTERVALS = f"""
+WITH c AS ({_p1_sql()}),
+w AS (SELECT *, row_number() OVER (PARTITION BY rec_id ORDER BY CASE child_kind WHEN 'priority_claim' THEN 1 WHEN 'inventor' THEN 2 WHEN 'applicant' THEN 3 ELSE 4 END,
+    CASE WHEN child_kind = 'external_id' THEN parent_no ELSE child_no END, CASE WHEN child_kind = 'external_id' THEN child_no ELSE 0 END) AS pre FROM c),
+s AS (SELECT rec_id, parent_no, count(*) AS n FROM c WHERE child_kind = 'external_id' GROUP BY 1, 2)
+SELECT w.rec_id, child_kind AS kind, child_no, CAST(pre AS INTEGER) AS pre,
+  CAST(pre + CASE WHEN child_kind = 'citation' THEN coalesce(n, 0) ELSE 0 END - CASE WHEN child_kind = 'external_id' THEN 2 ELSE 1 END AS INTEGER) AS post
+FROM w LEFT JOIN s ON s.rec_id = w.rec_id AND child_kind = 'citation' AND s.parent_no = w.child_no"""
+
 SQL = {
     "p1_found": _p1_sql(),
+    "p1_intervals": _P1_INTERVALS,
     "p4_found": f"{_P4} SELECT line_id, reason FROM (SELECT line_id, {_P4_REASON} AS reason FROM b) WHERE reason IS NOT NULL",
     "p4_loaded": f"{_P4} SELECT line_id, "
     + ", ".join(f'f[{i}] AS "{name}"' for i, name in enumerate(rejects.EXPORT_FIELDS, 1))
