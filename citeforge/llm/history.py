@@ -17,9 +17,9 @@ are appended to the table; history is never read again for its text.
 
 An identifier that more than ``PLACEHOLDER_TITLES`` different titles carry is a stand-in and
 identifies nothing. A word that more than ``COMMON`` titles share is an anchor only together
-with the title's other rare words, and an anchor that still has more than ``HOT`` points is
-split by volume and year, so no anchor gathers a large part of the table; exact copies are
-collapsed to their first record before anything is compared.
+with the title's other rare words. An anchor that still has more than ``HOT`` points is dealt
+into blocks, and every block meets every other and itself, so no task gathers a large part of
+the table and no pair is lost; exact copies are collapsed to their first record before anything is compared.
 
 Defined cases: a record without title is matched by identifier or page and authors only; one
 without any anchor matches nothing; blank identifiers and stand-ins never match; repeated
@@ -44,7 +44,7 @@ from citeforge.session import cut
 
 PLACEHOLDER_TITLES = 24
 COMMON = 40
-#: An anchor of more points than this is split by volume and year.
+#: An anchor of more points than this is dealt into blocks of about as many.
 HOT = 1000
 #: Words of a title that serve as anchors, the rarest ones that occur elsewhere at all.
 RAREST = 3
@@ -152,9 +152,9 @@ def title_words(title: Column) -> Column:
 def anchors(reps: DataFrame, words: DataFrame | None = None) -> DataFrame:
     """The pivot-distance table: ``anchor, record_id, pivots``, one row per point.
     ``words(word, df)`` are the counts of history's words; if they are not given, ``reps`` is
-    taken as all there is, its words are counted and its hot anchors are split."""
+    taken as all there is, its words are counted and its hot anchors are dealt into blocks."""
     whole = words is None
-    base = reps.select("record_id", "eid", "doi", "title", "page", "families", "first", "volume", "year", "pivots")
+    base = reps.select("record_id", "eid", "doi", "title", "page", "families", "first", "volume", "pivots")
     titled = base.withColumn("w", title_words(F.col("title")))
     each = titled.select("record_id", F.explode("w").alias("word"))
     if words is None:
@@ -196,18 +196,23 @@ def anchors(reps: DataFrame, words: DataFrame | None = None) -> DataFrame:
     stand_ins = ids.groupBy("id").agg(F.approx_count_distinct("title", 0.02).alias("k")).filter(F.col("k") > PLACEHOLDER_TITLES)
     bad = stand_ins.select(F.explode(F.array(hashed("e", "id"), hashed("d", "id"))).alias("anchor"))
     points = (
-        base.select("record_id", "pivots", "families", F.xxhash64("volume", "year").alias("detail"), fixed.alias("fixed"))
+        base.select("record_id", "pivots", "families", fixed.alias("fixed"))
         .join(rare, "record_id", "left")
-        .select("record_id", "pivots", "detail", F.explode(F.array_distinct(F.concat("fixed", from_words))).alias("anchor"))
+        .select("record_id", "pivots", F.explode(F.array_distinct(F.concat("fixed", from_words))).alias("anchor"))
     )
     points = points.join(bad, "anchor", "left_anti")
     if whole:
         points = cut(points, "history-points")
         counts = points.groupBy("anchor").agg(F.count("*").alias("k"))
-        hot = cut(counts.filter(F.col("k") > HOT).select("anchor", F.lit(True).alias("hot")), "history-hot")
+        hot = cut(counts.filter(F.col("k") > HOT).select("anchor", F.ceil(F.col("k") / HOT).cast("long").alias("blocks")), "history-hot")
         if not hot.isEmpty():
-            split = F.when(F.col("hot"), F.xxhash64("anchor", "detail")).otherwise(F.col("anchor"))
-            points = points.join(hot, "anchor", "left").withColumn("anchor", split)
+            # A point stands once for each block its own block meets; the key of two blocks is the same from both.
+            own = F.pmod(F.xxhash64("record_id"), F.col("blocks"))
+            met = F.transform(
+                F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda c: F.xxhash64("anchor", F.least(c, own), F.greatest(c, own))
+            )
+            keys = F.when(F.col("blocks").isNotNull(), met).otherwise(F.array("anchor"))
+            points = points.join(hot, "anchor", "left").select(F.explode(keys).alias("anchor"), "record_id", "pivots")
     return points.select("anchor", "record_id", "pivots")
 
 

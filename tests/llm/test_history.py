@@ -106,3 +106,11 @@ def test_a_long_title_cut_very_short(spark):
     long = TITLE + " with results for several further samples, a comparison of storage lives, and notes on the use by untrained people at home"
     rows = [row(1, long, doi="10.1/a111"), row(2, long[:60] + "...", doi="10.1/b222")]
     assert [tuple(x) for x in h.found(spark.createDataFrame(rows, SCHEMA)).collect()] == [(1, 2)]
+
+
+def test_hot_anchors_stay_complete(spark, monkeypatch):
+    rows = [row(1), row(2, TITLE.replace("portable", "potrable"), volume=None), row(3, TITLE.upper() + ".", year=None, volume="Vol. 3")]
+    rows += [row(i, f"Some other title of thing{i}x in river water by a portable sensor patch and reader", volume=str(i)) for i in range(4, 16)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    monkeypatch.setattr(h, "HOT", 1)
+    assert sorted(map(tuple, h.found(df).collect())) == [(1, 2), (1, 3)]
