@@ -224,12 +224,24 @@ def link_by_institutions(records: DataFrame, patents: DataFrame, id_col: str = "
     return _links(wide, "institution_match", threshold, author=author)
 
 
+def containing(titles: DataFrame, keys: DataFrame) -> DataFrame:
+    """``t, k``: all pairs of a title ``t`` and a keyword ``k`` of three letters and more that it contains
+    anywhere. They meet by the keyword's trigram that is rarest in the titles; a title with the keyword has it."""
+    grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - 2), lambda i: F.substring(F.col(c), i, F.lit(3))))
+    of_titles = titles.filter(F.length("t") >= 3).select("t", F.explode(grams("t")).alias("gram"))
+    of_keys = keys.filter(F.length("k") >= 3).select("k", F.explode(grams("k")).alias("gram"))
+    spread = of_titles.groupBy("gram").agg(F.count("*").alias("n"))
+    rarest = of_keys.join(spread, "gram").groupBy("k").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
+    return of_titles.join(rarest, "gram").filter(F.contains("t", "k")).select("t", "k")
+
+
 def link_by_subjects(records: DataFrame, patents: DataFrame, id_col: str = "record_id", most: int = 3, threshold: float | None = None) -> DataFrame:
     """[SIM-18] The subject phase: a patent's title holds one of the first ``most`` keywords."""
     pubs = publications(records, id_col)
-    keys = pubs.select("pub_id", F.explode(F.slice("keywords", 1, most)).alias("k")).withColumn("k", F.lower("k")).withColumn("word", F.split("k", " ")[0])
-    titles = patent_table(patents).select("lens_id", F.lower("title").alias("t")).withColumn("word", F.explode(F.array_distinct(F.split("t", " "))))
-    pairs = keys.join(titles, "word").filter(F.contains("t", "k")).select("pub_id", "lens_id").distinct()
+    keys = pubs.select("pub_id", F.explode(F.slice("keywords", 1, most)).alias("k")).withColumn("k", F.lower("k"))
+    titles = cut(patent_table(patents).select("lens_id", F.lower("title").alias("t")), "subject-titles")
+    held = containing(titles.select("t").distinct(), keys.select("k").distinct()).join(titles, "t").select("k", "lens_id")
+    pairs = keys.join(held, "k").select("pub_id", "lens_id").distinct()
     return _links(_wide(pairs, pubs, patents, _parties(patents)), "subject_match", threshold, title=sequence_ratio(F.lower("title"), F.lower("patent_title")))
 
 
