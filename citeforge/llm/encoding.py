@@ -270,12 +270,12 @@ class Characters:
 _LONE = rf"^(?:[^\x00-\x7f]|{LOST}+|{_NUMBER})$"
 
 
-def places(cell: Column) -> Column:
-    """``chunk, left, right`` of each chunk of a cell, in order: for a lone chunk the nearest
-    word on either side with the signs between, otherwise nulls."""
-    chunks = F.regexp_extract_all(cell, F.lit(f"({CHUNK})"), F.lit(1))
-    pieces = F.split(cell, CHUNK, -1)
-
+def with_places(df: DataFrame, cell: str) -> DataFrame:
+    """``df`` with the cell's ``chunks``, the ``pieces`` between them, and ``places``: ``chunk, left,
+    right`` of each chunk, in order; ``left`` and ``right`` of a lone chunk are the nearest words
+    with the signs between, otherwise null. Columns of their own, so each pattern runs once."""
+    found = F.regexp_extract_all(cell, F.lit(f"({CHUNK})"), F.lit(1))
+    df = df.withColumns({"chunks": found, "pieces": F.split(cell, CHUNK, -1)})
     word, signs = rf"[^{_ASCII_CUT}]*", rf"[{_ASCII_CUT}]*"
 
     def side(text: Column, pattern: str) -> Column:
@@ -283,13 +283,13 @@ def places(cell: Column) -> Column:
 
     def place(chunk: Column, i: Column) -> Column:
         # The chunks before and behind belong to the neighbours. Only their near ends are looked at.
-        before = F.concat(F.coalesce(F.get(chunks, i - 1), F.lit("")), F.get(pieces, i))
-        behind = F.concat(F.get(pieces, i + 1), F.coalesce(F.get(chunks, i + 1), F.lit("")))
+        before = F.concat(F.coalesce(F.get("chunks", i - 1), F.lit("")), F.get("pieces", i))
+        behind = F.concat(F.get("pieces", i + 1), F.coalesce(F.get("chunks", i + 1), F.lit("")))
         left, right = side(F.right(before, F.lit(60)), rf"({word}{signs})$"), side(F.left(behind, F.lit(60)), rf"^({signs}{word})")
-        lone = chunk.rlike(_LONE)
+        lone = (F.length(chunk) == 1) | chunk.rlike(_LONE)
         return F.struct(chunk.alias("chunk"), F.when(lone, left).alias("left"), F.when(lone, right).alias("right"))
 
-    return F.transform(chunks, place)
+    return df.withColumn("places", F.transform("chunks", place))
 
 
 def _flat(records: DataFrame, fields: list[str], id_col: str) -> DataFrame:
@@ -299,8 +299,9 @@ def _flat(records: DataFrame, fields: list[str], id_col: str) -> DataFrame:
 
 def cells(records: DataFrame, fields: list[str], id_col: str = "record_id") -> DataFrame:
     """``id_col, field_name, chunk, left, right``: the distinct chunks of every cell, lone ones
-    with their neighbours."""
-    return _flat(records, fields, id_col).select(id_col, "field_name", F.inline(F.array_distinct(places(F.col("cell")))))
+    with their neighbours; written once, so that the texts are read once."""
+    placed = with_places(_flat(records, fields, id_col), "cell")
+    return cut(placed.select(id_col, "field_name", F.inline(F.array_distinct("places"))), "chunk-cells")
 
 
 def character_pairs(counts: DataFrame) -> DataFrame:
@@ -480,11 +481,10 @@ def restored(records: DataFrame, fields: list[str], id_col: str = "record_id") -
         )
     )
     flat = _flat(records, fields, id_col).withColumnRenamed("cell", "original")
-    at = places(F.col("original"))
     whole = lambda p: F.element_at("repairs", p["chunk"])
     placed = lambda p: F.element_at("repairs", _place_key(p["chunk"], p["left"], p["right"]))
-    words = F.concat(F.transform(at, lambda p: F.coalesce(placed(p), whole(p), p["chunk"])), F.array(F.lit("")))
-    fixed = F.array_join(F.zip_with(F.split("original", CHUNK, -1), words, lambda piece, word: F.concat(piece, word)), "")
-    return flat.join(repairs, [id_col, "field_name"]).select(
+    words = F.concat(F.transform("places", lambda p: F.coalesce(placed(p), whole(p), p["chunk"])), F.array(F.lit("")))
+    fixed = F.array_join(F.zip_with("pieces", words, lambda piece, word: F.concat(piece, word)), "")
+    return with_places(flat.join(repairs, [id_col, "field_name"]), "original").select(
         id_col, "field_name", "original", fixed.alias("restored"), "complete"
     )
