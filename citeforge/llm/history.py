@@ -1,34 +1,47 @@
 """Deduplicating new batches against all history with a pivot-distance table (problem 5).
 
 Records are points of a product of metric spaces: an anchor on a line (a 64-bit number) and
-a title under edit distance. A record has one point per anchor: its EID, its DOI, its page
-with its authors or its volume and first author, its rarest words. The table holds for every point the distances to fixed
-pivots: the anchor line's origin (that distance is the anchor itself), the empty title (the
-title's length), and titles of one letter class repeated beyond any title's length (each
-distance is a length less a count, under the class-preserving projection, which never
-lengthens a distance). So every stored value is a distance to a pivot, computed in one pass.
-
-A batch is joined with the table by range of the first distance: points of one publication
-share it exactly for some anchor, so the range partitions of the anchor line meet only their
-own. Within it the triangle inequality prunes: no edit distance is below the difference of
-two distances to the same pivot. Pairs that survive are verified by true edit distance,
-then by an exact comparison of titles, notices, parts, pages and volumes. The batch's rows
-are appended to the table; history is never read again for its text.
-
-An identifier that more than ``PLACEHOLDER_TITLES`` different titles carry is a stand-in and
-identifies nothing. A word that more than ``COMMON`` titles share is an anchor only together
-with the title's other rare words. An anchor that still has more than ``HOT`` points is dealt
-into blocks, and every block meets every other and itself, so no task gathers a large part of
-the table and no pair is lost; exact copies are collapsed to their first record before anything is compared.
+a title under edit distance. A record has one point per anchor (``anchors`` lists them): its
+identifiers; its page with its authors; its volume or year with page and first author; the
+head of its title with the volume; and any four of the five rarest words of its title. The
+table holds for every point the distances to fixed pivots: the anchor line's origin (that
+distance is the anchor itself), the empty title (the title's length), and titles of one letter
+class repeated beyond any title's length (each distance is a length less a count, under the
+class-preserving projection, which never lengthens a distance). So every stored value is a
+distance to a pivot, computed in one pass. Beside them stand page, volume and year.
+
+The table is kept in ``SLOTS`` ranges of the first distance; a batch reads the ranges that its
+own points lie in. Points of one publication share the first distance exactly for some anchor.
+Among those the triangle inequality prunes: no edit distance is below the difference of two
+distances to the same pivot. Pairs with different pages or volumes or distant years
+go as well, unless an identifier brought them together. What survives, few pairs, is verified by true edit distance, then by an exact
+comparison of titles, notices, parts, pages and volumes; only for these are stored titles
+joined. The batch's rows are appended to the table.
+
+No anchor depends on the size of the table: which words of a title are the rarest is decided
+by the count that a word had when it was first stored, an order that never changes again, so a
+record gets the same anchors in whatever batch it comes. An anchor that more than ``HOT``
+points of history share is dealt into blocks, and every block of the batch meets every block
+of history, so no task gathers a large part of the table and no pair is lost. Exact copies are
+collapsed to their first record before anything is compared.
+
+An identifier is a stand-in, and identifies nothing, if most of the titles that carry it are
+far from one of them. The counts of near and far titles are stored with that one title.
+
+Each accepted batch is a folder of each table and counts only once its mark is written, so an
+interrupted batch leaves nothing behind and is simply accepted again.
 
 Defined cases: a record without title is matched by identifier or page and authors only; one
 without any anchor matches nothing; blank identifiers and stand-ins never match; repeated
-rows are duplicates of the first; ties go to the least id.
+rows are duplicates of the first; the first record of a publication is the one accepted first,
+whatever its id, and within a batch the least id; a record that shows two publications of history
+to be one makes the later one follow the earlier (``members``).
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -40,14 +53,14 @@ from citeforge.llm.encoding import characters
 from citeforge.llm.graph import components
 from citeforge.llm.names import fold
 from citeforge.llm.records import EDITS, identifier, number, plain, repair, same_title, titles_near
-from citeforge.session import cut
+from citeforge.session import cut, shared_dir
 
-PLACEHOLDER_TITLES = 24
-COMMON = 40
 #: An anchor of more points than this is dealt into blocks of about as many.
 HOT = 1000
-#: Words of a title that serve as anchors, the rarest ones that occur elsewhere at all.
-RAREST = 3
+#: Of so many rarest words of a title, all but one make an anchor.
+RAREST = 5
+#: Ranges of the anchor line that the stored table is kept in.
+SLOTS = 32
 #: Letter classes whose repetitions are the pivots.
 CLASSES = ["aeiou", "bcdfgt", "lmnrs", "0123456789kpvwxyz"]
 
@@ -149,89 +162,108 @@ def title_words(title: Column) -> Column:
     return F.array_distinct(F.filter(F.split(joined, " "), lambda x: F.length(x) >= 3))
 
 
-def anchors(reps: DataFrame, words: DataFrame | None = None) -> DataFrame:
-    """The pivot-distance table: ``anchor, record_id, pivots``, one row per point.
-    ``words(word, df)`` are the counts of history's words; if they are not given, ``reps`` is
-    taken as all there is, its words are counted and its hot anchors are dealt into blocks."""
-    whole = words is None
-    base = reps.select("record_id", "eid", "doi", "title", "page", "families", "first", "volume", "pivots")
-    titled = base.withColumn("w", title_words(F.col("title")))
-    each = titled.select("record_id", F.explode("w").alias("word"))
-    if words is None:
-        words = each.groupBy("word").agg(F.count("*").alias("df"))
+def word_ranks(reps: DataFrame, stored_words: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
+    """``word, rank`` of the words that are new with this batch (their count in it), and of those
+    it shares with history (their stored rank, which never changes)."""
+    fresh = reps.select(F.explode(title_words(F.col("title"))).alias("word")).groupBy("word").agg(F.count("*").alias("rank"))
+    if stored_words is None:
+        return fresh, None
+    return fresh.join(stored_words, "word", "left_anti"), stored_words.join(fresh.select("word"), "word", "left_semi")
+
+
+def anchors(reps: DataFrame, ranks: DataFrame) -> DataFrame:
+    """The pivot-distance table of records: ``anchor, record_id, by_id, pivots, page, volume, year``,
+    one row per point. ``ranks(word, rank)`` order the words of their titles."""
+    base = reps.withColumn("w", title_words(F.col("title")))
+    each = base.select("record_id", F.explode("w").alias("word"))
     rare = (
-        each.join(words.filter("df > 1"), "word")
+        each.join(ranks, "word")
         .groupBy("record_id")
-        .agg(F.slice(F.array_sort(F.collect_list(F.struct("df", "word"))), 1, RAREST + 1).alias("r"))
+        .agg(F.sort_array(F.slice(F.array_sort(F.collect_list(F.struct("rank", "word"))), 1, RAREST)["word"]).alias("r"))
     )
     hashed = lambda tag, *cols: F.xxhash64(F.lit(tag), *cols)
-    single = F.transform(
-        F.filter(F.slice("r", 1, RAREST), lambda x: x["df"] <= COMMON), lambda x: hashed("w", x["word"])
+    # All but one of the rarest words; a title of fewer words has them all in one anchor.
+    sets = F.when(
+        F.size("r") == RAREST,
+        F.transform("r", lambda x: hashed("w", F.array_join(F.array_remove("r", x), " "))),
+    ).otherwise(F.array(hashed("w", F.array_join("r", " "))))
+    from_words = F.when(F.col("r").isNotNull(), sets).otherwise(F.array().cast("array<bigint>"))
+    head = F.slice(F.split("title", " "), 1, 3)
+    paged, titled, led = F.col("page").isNotNull(), F.col("title") != "", F.col("first") != ""
+    by_id = F.array_compact(
+        F.array(F.when(F.col("eid").isNotNull(), hashed("e", "eid")), F.when(F.col("doi").isNotNull(), hashed("d", "doi")))
     )
-    # Where even the rarest words are common, pairs of them and the page tell titles apart.
-    first_common = F.filter("r", lambda x: x["df"] > COMMON)
-    pairs = F.when(
-        F.size(single) < 2,
-        F.flatten(
-            F.transform(
-                first_common,
-                lambda x, i: F.transform(
-                    F.slice(first_common, i + 2, RAREST + 1), lambda y: hashed("p", x["word"], y["word"], F.col("families"))
-                ),
-            )
-        ),
-    ).otherwise(F.array())
-    from_words = F.when(F.col("r").isNotNull(), F.concat(single, pairs)).otherwise(F.array())
-    fixed = F.array_compact(
+    by_place = F.array_compact(
         F.array(
-            F.when(F.col("eid").isNotNull(), hashed("e", "eid")),
-            F.when(F.col("doi").isNotNull(), hashed("d", "doi")),
-            F.when(F.col("page").isNotNull() & (F.col("families") != ""), hashed("c", "page", "families")),
-            F.when(F.col("page").isNotNull() & (F.col("title") != ""), hashed("t", "page", "title")),
-            F.when(F.col("page").isNotNull() & F.col("volume").isNotNull() & (F.col("first") != ""), hashed("v", "page", "volume", "first")),
+            F.when(paged & (F.col("families") != ""), hashed("c", "page", "families")),
+            F.when(paged & F.col("volume").isNotNull() & led, hashed("v", "page", "volume", "first")),
+            F.when(paged & F.col("year").isNotNull() & led, hashed("y", "page", "year", "first")),
+            F.when(paged & F.col("year").isNotNull() & led, hashed("y", "page", F.col("year") + 1, "first")),
+            F.when(F.col("volume").isNotNull() & titled, hashed("h", "volume", F.array_join(head, " "))),
         )
     )
-    # Stand-ins: identifiers of very many titles. Counted once, over all records.
-    ids = base.select(F.explode(F.array_compact(F.array("eid", "doi"))).alias("id"), "title")
-    stand_ins = ids.groupBy("id").agg(F.approx_count_distinct("title", 0.02).alias("k")).filter(F.col("k") > PLACEHOLDER_TITLES)
-    bad = stand_ins.select(F.explode(F.array(hashed("e", "id"), hashed("d", "id"))).alias("anchor"))
-    points = (
-        base.select("record_id", "pivots", "families", fixed.alias("fixed"))
-        .join(rare, "record_id", "left")
-        .select("record_id", "pivots", F.explode(F.array_distinct(F.concat("fixed", from_words))).alias("anchor"))
+    facts = ["record_id", "pivots", "page", "volume", "year"]
+    points = base.select(*facts, by_id.alias("ids"), by_place.alias("places")).join(rare, "record_id", "left")
+    of = lambda keys, flag: F.transform(F.array_distinct(keys), lambda k: F.struct(k.alias("anchor"), F.lit(flag).alias("by_id")))
+    return points.select(*facts, F.inline(F.concat(of(F.col("ids"), True), of(F.concat("places", from_words), False))))
+
+
+def slot(anchor: Column | str) -> Column:
+    """The range of the anchor line that an anchor lies in: its highest bits."""
+    bits = SLOTS.bit_length() - 1
+    return (F.shiftright(anchor, 64 - bits) + SLOTS // 2).cast("int")
+
+
+def blocked(batch: DataFrame, table: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the key they meet by: the anchor, or for an anchor of more than ``HOT``
+    points of the table a pair of blocks. A point of the batch stands once for each block of the
+    table and a point of the table once for each block of the batch, so each pair meets once."""
+    size = lambda df, n: df.groupBy("anchor").agg(F.count("*").alias(n))
+    many = size(table, "t").filter(F.col("t") > HOT)
+    hot = cut(
+        many.join(size(batch, "b"), "anchor").select(
+            "anchor", F.ceil(F.col("t") / HOT).cast("long").alias("t_blocks"), F.ceil(F.col("b") / HOT).cast("long").alias("b_blocks")
+        ),
+        "history-hot",
     )
-    points = points.join(bad, "anchor", "left_anti")
-    if whole:
-        points = cut(points, "history-points")
-        counts = points.groupBy("anchor").agg(F.count("*").alias("k"))
-        hot = cut(counts.filter(F.col("k") > HOT).select("anchor", F.ceil(F.col("k") / HOT).cast("long").alias("blocks")), "history-hot")
-        if not hot.isEmpty():
-            # A point stands once for each block its own block meets; the key of two blocks is the same from both.
-            own = F.pmod(F.xxhash64("record_id"), F.col("blocks"))
-            met = F.transform(
-                F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda c: F.xxhash64("anchor", F.least(c, own), F.greatest(c, own))
-            )
-            keys = F.when(F.col("blocks").isNotNull(), met).otherwise(F.array("anchor"))
-            points = points.join(hot, "anchor", "left").select(F.explode(keys).alias("anchor"), "record_id", "pivots")
-    return points.select("anchor", "record_id", "pivots")
+    if hot.isEmpty():
+        return batch.withColumn("key", F.col("anchor")), table.withColumn("key", F.col("anchor"))
+
+    def dealt(side: DataFrame, own: str, met: str, own_first: bool) -> DataFrame:
+        mine = F.pmod(F.xxhash64("record_id"), F.col(own))
+        others = F.sequence(F.lit(0).cast("long"), F.col(met) - 1)
+        keys = F.transform(others, lambda o: F.xxhash64("anchor", *((mine, o) if own_first else (o, mine))))
+        keyed = side.join(hot, "anchor", "left")
+        return keyed.withColumn("key", F.explode(F.when(F.col(own).isNotNull(), keys).otherwise(F.array("anchor")))).drop(own, met)
+
+    return dealt(batch, "b_blocks", "t_blocks", True), dealt(table, "t_blocks", "b_blocks", False)
 
 
 def candidates(batch: DataFrame, table: DataFrame) -> DataFrame:
     """``a, b``: pairs of a point of ``table`` (a) and one of ``batch`` (b) with the same first
-    distance that the triangle inequality does not rule out; each pair once, the older first."""
-    x, y = table.alias("x"), batch.alias("y")
+    distance that neither the triangle inequality nor their facts rule out; each pair once.
+    ``table`` holds history (``old``) and the batch itself, of which the lesser id is ``a``."""
+    left, right = blocked(batch, table)
+    x, y = right.alias("x"), left.alias("y")
     a, b = F.col("x.pivots"), F.col("y.pivots")
     short, long = F.least(stored(a, 0), stored(b, 0)), F.greatest(stored(a, 0), stored(b, 0))
     bound = F.greatest(*[F.abs(stored(a, i) - stored(b, i)) for i in range(len(CLASSES) + 1)])
     titled = (stored(a, 0) > 0) & (stored(b, 0) > 0)
+    differ = lambda c: F.coalesce(F.col(f"x.{c}") != F.col(f"y.{c}"), F.lit(False))
+    far = F.coalesce(F.abs(F.col("x.year") - F.col("y.year")) > YEARS, F.lit(False))
+    open_ = F.col("y.by_id") | ~(differ("page") | differ("volume") | far)
     return (
-        x.join(y, F.col("x.anchor") == F.col("y.anchor"))
-        .filter((F.col("x.record_id") < F.col("y.record_id")) & (~titled | (bound <= long - short + EDITS * short + 1)))
+        x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.anchor") == F.col("y.anchor")))
+        .filter((F.col("x.old") | (F.col("x.record_id") < F.col("y.record_id"))) & (~titled | (bound <= long - short + EDITS * short + 1)) & open_)
         .select(F.col("x.record_id").alias("a"), F.col("y.record_id").alias("b"))
         .distinct()
     )
 
 
+#: Years of versions of one publication are at most so far apart.
+YEARS = 2
+
+
 def same_publication(x: dict, y: dict) -> bool:
     """The exact check of a pair of records in comparable form whose titles are near."""
     ids = (x["doi"] and x["doi"] == y["doi"]) or (x["eid"] and x["eid"] == y["eid"])
@@ -240,7 +272,7 @@ def same_publication(x: dict, y: dict) -> bool:
     volumes = x["volume"] is not None and y["volume"] is not None
     volume_other = volumes and x["volume"] != y["volume"]
     years = x["year"] is not None and y["year"] is not None
-    year_far = years and abs(x["year"] - y["year"]) > 2
+    year_far = years and abs(x["year"] - y["year"]) > YEARS
     authors = bool(x["families"]) and x["families"] == y["families"]
     if not x["title"] or not y["title"]:
         return bool(ids or (page_same and authors and not volume_other and not year_far))
@@ -280,59 +312,140 @@ def verified(pairs: DataFrame, reps: DataFrame, other: DataFrame | None = None)
     return joined.mapInArrow(run, "a long, b long")
 
 
+def identifier_counts(reps: DataFrame, stored_ids: DataFrame | None) -> DataFrame:
+    """``id, title, near, far`` of the batch's identifiers: ``title`` is one title that carries the
+    identifier (the stored one, if there is one), ``near`` and ``far`` count the batch's others."""
+    carried = reps.filter("title <> ''").select(F.explode(F.array_compact(F.array("eid", "doi"))).alias("id"), F.col("title").alias("t"))
+    one = carried.groupBy("id").agg(F.min_by("t", F.xxhash64("t")).alias("own"))
+    if stored_ids is not None:
+        kept = stored_ids.filter("title is not null").groupBy("id").agg(F.min_by("title", F.xxhash64("title")).alias("kept"))
+        one = one.join(kept, "id", "left").select("id", F.coalesce("kept", "own").alias("own"))
+    # Only identifiers with a second title have anything to count.
+    others = carried.join(one, "id").filter("t <> own").withColumn("near", titles_near(F.col("t"), F.col("own")))
+    counts = others.groupBy("id").agg(F.sum(F.col("near").cast("long")).alias("near"), F.sum((~F.col("near")).cast("long")).alias("far"))
+    return one.join(counts, "id", "left").select("id", F.col("own").alias("title"), F.coalesce("near", F.lit(0)).alias("near"), F.coalesce("far", F.lit(0)).alias("far"))
+
+
+def without_stand_ins(reps: DataFrame, counts: DataFrame, stored_ids: DataFrame | None) -> DataFrame:
+    """``reps`` without the identifiers that are stand-ins after this batch."""
+    sums = counts.select("id", "near", "far")
+    if stored_ids is not None:
+        sums = sums.unionByName(stored_ids.join(counts.select("id"), "id", "left_semi").select("id", "near", "far"))
+    bad = sums.groupBy("id").agg(F.sum("near").alias("near"), F.sum("far").alias("far")).filter("far > 1 and far > near + 1").select("id")
+    bad = cut(bad, "history-stand-ins")
+    if bad.isEmpty():
+        return reps
+    for c in ("eid", "doi"):
+        marked = bad.select(F.col("id").alias(c), F.lit(True).alias("bad"))
+        reps = reps.join(marked, c, "left").withColumn(c, F.when(F.col("bad").isNull(), F.col(c))).drop("bad")
+    return reps
+
+
 def found(records: DataFrame) -> DataFrame:
-    """``first_record_id, record_id`` of every record whose publication has an earlier one."""
-    read = cut(read_records(records), "history-read")
-    reps, copies = representatives(read)
-    reps = cut(reps, "history-reps")
-    table = cut(anchors(reps).repartitionByRange("anchor").sortWithinPartitions("anchor"), "history-table")
-    links = verified(cut(candidates(table, table), "history-pairs"), reps).unionByName(copies)
-    roots = components(links)
-    return roots.filter("node <> root").select(F.col("root").alias("first_record_id"), F.col("node").alias("record_id"))
+    """``first_record_id, record_id`` of every record whose publication has an earlier one: all
+    batches but the last are loaded as history, then the last one is checked against them."""
+    spark = records.sparkSession
+    past = History(spark, f"{shared_dir(spark)}/history-{uuid.uuid4().hex}")
+    last = records.agg(F.max("batch_no")).first()[0] if "batch_no" in records.columns else None
+    if last is None:
+        past.accept(records)
+    else:
+        newest = F.coalesce(F.col("batch_no") == last, F.lit(False))
+        past.accept(records.filter(~newest))
+        past.accept(records.filter(newest))
+    return past.members().select(F.col("root").alias("first_record_id"), F.col("node").alias("record_id"))
 
 
 class History:
     """Accepted records as a pivot-distance table that batches are checked against.
 
     ``accept(batch)`` gives ``record_id, first_record_id`` (null if the record is new) and then
-    appends the batch. Stored are the points, the comparable fields and the word counts."""
+    appends the batch. Stored are the points, the comparable fields, the ranks of words, the
+    counts of identifiers, and of every duplicate the record it follows."""
+
+    TABLES = ("points", "fields", "words", "ids", "roots")
 
     def __init__(self, spark, path: str):
-        self.spark, self.path = spark, path
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def _fs(self, path: str):
+        jpath = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()), jpath
+
+    def batches(self) -> list[int]:
+        """Numbers of the accepted batches: the marks in the folder ``accepted``."""
+        fs, folder = self._fs(f"{self.path}/accepted")
+        return sorted(int(f.getPath().getName()) for f in fs.listStatus(folder)) if fs.exists(folder) else []
 
     def _table(self, name: str) -> DataFrame | None:
-        jpath = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        if not jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(jpath):
-            return None
-        return self.spark.read.parquet(f"{self.path}/{name}")
+        paths = [f"{self.path}/{name}/seq={n}" for n in self.batches()]
+        return self.spark.read.option("basePath", f"{self.path}/{name}").parquet(*paths) if paths else None
+
+    def _write(self, df: DataFrame, name: str, seq: int, *parts: str) -> DataFrame:
+        path = f"{self.path}/{name}/seq={seq}"
+        df.write.mode("overwrite").partitionBy(*parts).parquet(path)
+        # Read back with the schema at hand: an empty partitioned table has no files to tell it.
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def accept(self, batch: DataFrame) -> DataFrame:
+        seq = max(self.batches(), default=0) + 1
+        old = {t: self._table(t) for t in self.TABLES}
         read = cut(read_records(batch), "batch-read")
-        reps, copies = representatives(read)
-        reps = cut(reps, "batch-reps")
-        fresh = reps.select(F.explode(title_words(F.col("title"))).alias("word"))
-        counts = fresh.groupBy("word").agg(F.count("*").alias("df"))
-        old_words, old_points, old_fields = self._table("words"), self._table("points"), self._table("fields")
-        words = counts if old_words is None else old_words.unionByName(counts).groupBy("word").agg(F.sum("df").alias("df"))
-        points = cut(anchors(reps, words).repartitionByRange("anchor").sortWithinPartitions("anchor"), "batch-points")
-        history = points if old_points is None else old_points.unionByName(points)
-        fields = reps if old_fields is None else old_fields.unionByName(reps)
-        links = verified(cut(candidates(points, history), "batch-pairs"), fields, reps).unionByName(copies)
-        roots = cut(components(links), "batch-roots")
-        known = self._table("roots")
-        first = roots.filter("node <> root")
-        if known is not None:
-            first = first.join(known.select(F.col("node").alias("root"), F.col("root").alias("older")), "root", "left").select(
-                "node", F.coalesce("older", "root").alias("root")
-            )
+        all_reps, copies = representatives(read)
+        all_reps = cut(all_reps, "batch-reps")
+        counts = self._write(identifier_counts(all_reps, old["ids"]), "ids", seq)
+        reps = self._write(without_stand_ins(all_reps, counts, old["ids"]), "fields", seq)
+        new_words, shared = word_ranks(reps, old["words"])
+        new_words = self._write(new_words, "words", seq)
+        ranks = new_words if shared is None else new_words.unionByName(shared.select("word", "rank"))
+        made = anchors(reps, ranks).withColumn("slot", slot("anchor"))
+        points = self._write(made.repartitionByRange("anchor").sortWithinPartitions("anchor"), "points", seq, "slot")
+        table, fields = points.withColumn("old", F.lit(False)), reps
+        if old["points"] is not None:
+            # At most SLOTS rows. Ranges in which the batch has no point are not read.
+            slots = [r["slot"] for r in points.select("slot").distinct().collect()]
+            history = old["points"].filter(F.col("slot").isin(slots)).join(points.select("anchor").distinct(), "anchor", "left_semi")
+            table = table.unionByName(history.withColumn("old", F.lit(True)).select(table.columns))
+            fields = old["fields"].select(reps.columns).unionByName(reps)
+        links = verified(cut(candidates(points, table), "batch-pairs"), fields, reps).unionByName(copies)
+        first = cut(self._follow(links, read.select("record_id"), old["roots"]), "batch-roots")
+        self._write(first, "roots", seq)
         result = cut(
             read.select("record_id").join(first.select(F.col("node").alias("record_id"), F.col("root").alias("first_record_id")), "record_id", "left"),
             "batch-result",
         )
-        points.write.mode("append").parquet(f"{self.path}/points")
-        reps.write.mode("append").parquet(f"{self.path}/fields")
-        counts.write.mode("append").parquet(f"{self.path}/words")
-        result.filter("first_record_id is not null").select(
-            F.col("record_id").alias("node"), F.col("first_record_id").alias("root")
-        ).write.mode("append").parquet(f"{self.path}/roots")
+        fs, mark = self._fs(f"{self.path}/accepted/{seq}")
+        fs.create(mark).close()
         return result
+
+    def _follow(self, links: DataFrame, batch: DataFrame, roots: DataFrame | None) -> DataFrame:
+        """``node, root`` of the batch's duplicates, and of the first records of history that the
+        links join to earlier ones."""
+        links = cut(links, "batch-links")
+        if roots is not None:
+            up = roots.select(F.col("node").alias("a"), F.col("root").alias("next"))
+            while True:
+                # A step up the stored table for each time that first records were joined.
+                stepped = cut(links.join(up, "a", "left"), "batch-steps")
+                links = stepped.select(F.coalesce("next", "a").alias("a"), "b")
+                if stepped.filter("next is not null").isEmpty():
+                    break
+        placed = components(links).join(batch.select(F.col("record_id").alias("node"), F.lit(True).alias("new")), "node", "left")
+        # Records of history come first; then the least id.
+        order = F.struct(F.coalesce("new", F.lit(False)).alias("new"), "node")
+        top = placed.groupBy("root").agg(F.min(order)["node"].alias("top"))
+        return placed.join(top, "root").filter("node <> top").select("node", F.col("top").alias("root"))
+
+    def members(self) -> DataFrame:
+        """``node, root`` of every duplicate accepted so far, by what is known now."""
+        roots = self._table("roots")
+        if roots is None:
+            raise ValueError("nothing has been accepted yet")
+        roots = roots.select("node", "root")
+        up = roots.select(F.col("node").alias("at"), F.col("root").alias("next"))
+        out = roots
+        while True:
+            stepped = cut(out.join(up, out["root"] == up["at"], "left"), "history-steps")
+            if stepped.filter("next is not null").isEmpty():
+                return stepped.select("node", "root")
+            out = stepped.select("node", F.coalesce("next", "root").alias("root"))

@@ -6,6 +6,7 @@ Shared by the operators that look for records of the same publication.
 from __future__ import annotations
 
 import html
+import math
 import re
 import unicodedata
 
@@ -137,39 +138,43 @@ def compare(a: list[str], b: list[str]) -> tuple[int, int, int]:
     a, b = a[i : len(a) - j], b[i : len(b) - j]
     if not a or not b:
         return (0, 0, len(a) + len(b)) if j == 0 else (0, len(a) + len(b), 0)
-    if len(a) * len(b) > 900:
-        return max(len(a), len(b)), 0, 0
-    # Alignment by least cost: (cost, replaced, dropped) for each pair of prefixes.
-    inf = (99.0, 0, 0)
-    table = [[(1.0 * q, 0, q) for q in range(len(b) + 1)]]
-    for x in a:
-        last = table[-1]
-        row = [(last[0][0] + 1, 0, last[0][2] + 1)]
-        for q, y in enumerate(b, 1):
-            d = last[q - 1]
-            same = alike(x, y)
-            best = (d[0] + (0 if x == y else 0.2 if same else 2.5), d[1] + (not same), d[2])
-            up, left = last[q], row[-1]
-            best = min(best, (up[0] + 1, up[1], up[2] + 1), (left[0] + 1, left[1], left[2] + 1))
-            if q >= 2 and x == b[q - 2] + y or q >= 2 and len(x) > 6 and distance(x, b[q - 2] + y, 2) <= 2:
-                w = last[q - 2]
-                best = min(best, (w[0] + 0.2, w[1], w[2]))
-            if len(table) >= 2 and a[len(table) - 2] + x == y:
-                w = table[-2][q - 1]
-                best = min(best, (w[0] + 0.2, w[1], w[2]))
-            row.append(best)
+    # Alignment by least cost: (cost, replaced, dropped) for each pair of prefixes. In titles of
+    # very many words only places within ``BAND`` of the diagonal, so the work grows with the length.
+    band = max(len(a), len(b)) if len(a) * len(b) <= 900 else BAND
+    none = (math.inf, 0, 0)
+    table = [{q: (1.0 * q, 0, q) for q in range(min(len(b), band) + 1)}]
+    for p, x in enumerate(a, 1):
+        last, row = table[-1], {}
+        for q in range(max(0, p - band), min(len(b), p + band) + 1):
+            up = last.get(q, none)
+            best = (up[0] + 1, up[1], up[2] + 1)
+            if q:
+                y, d, left = b[q - 1], last.get(q - 1, none), row.get(q - 1, none)
+                same = alike(x, y)
+                best = min(
+                    (d[0] + (0 if x == y else 0.2 if same else 2.5), d[1] + (not same), d[2]), best, (left[0] + 1, left[1], left[2] + 1)
+                )
+                if q >= 2 and x == b[q - 2] + y or q >= 2 and len(x) > 6 and distance(x, b[q - 2] + y, 2) <= 2:
+                    w = last.get(q - 2, none)
+                    best = min(best, (w[0] + 0.2, w[1], w[2]))
+                if p >= 2 and a[p - 2] + x == y:
+                    w = table[-2].get(q - 1, none)
+                    best = min(best, (w[0] + 0.2, w[1], w[2]))
+            row[q] = best
         table.append(row)
-    full = table[-1][-1]
+    full = table[-1].get(len(b), (math.inf, max(len(a), len(b)), 0))
     if j:
         return full[1], full[2], 0
     # The end of one may be missing: the best alignment of all of one with a prefix of the other.
-    ends = [(table[p][-1], len(a) - p) for p in range(1, len(a) + 1)] + [(table[-1][q], len(b) - q) for q in range(1, len(b) + 1)]
-    best, rest = min(ends, key=lambda e: (e[0][0] + 0.01 * e[1], e[1])) if ends else (inf, 0)
+    ends = [(table[p].get(len(b), none), len(a) - p) for p in range(1, len(a) + 1)] + [(table[-1].get(q, none), len(b) - q) for q in range(1, len(b) + 1)]
+    best, rest = min(ends, key=lambda e: (e[0][0] + 0.01 * e[1], e[1]))
     if best[0] < full[0]:
         return best[1], best[2], rest
     return full[1], full[2], 0
 
 
+#: Words that the alignment of two very long titles may lie off the diagonal.
+BAND = 32
 #: Titles of one publication differ by what one is shorter, and by this share of the shorter.
 EDITS = 0.3
 

@@ -102,6 +102,71 @@ def test_batches(spark, tmp_path):
     assert {x["record_id"]: x["first_record_id"] for x in third.collect()} == {5: 1}
 
 
+def accepted(spark, folder, *batches):
+    past = h.History(spark, f"file://{folder}")
+    out = {}
+    for b in batches:
+        out |= {x["record_id"]: x["first_record_id"] for x in past.accept(spark.createDataFrame(b, SCHEMA)).collect()}
+    return out, {x["node"]: x["root"] for x in past.members().collect()}
+
+
+def test_a_retyped_copy_in_a_later_batch(spark, tmp_path):
+    # The words of the first record are each the only one of their kind when it is stored.
+    a, b = row(1, page=None, volume=None, authors=None), row(2, TITLE.replace("portable", "potrable"), page="9", authors="Poe, A.")
+    assert accepted(spark, tmp_path / "h", [a], [b]) == ({1: None, 2: 1}, {2: 1})
+
+
+def test_ids_need_not_rise(spark, tmp_path):
+    out, members = accepted(spark, tmp_path / "h", [row(50, doi="10.1/x123"), row(60, "Another work of wholly different words", page="8")], [row(7, doi="10.1/x123"), row(6)])
+    assert out == {50: None, 60: None, 7: 50, 6: 50} and members == {7: 50, 6: 50}
+
+
+def test_a_record_that_joins_two_publications(spark, tmp_path):
+    cut_title = TITLE[:60]
+    a, b = row(1, None, eid="2-s2.0-1234567", page=None, authors=None), row(2, cut_title, page="44", volume="9", doi="10.1/y456")
+    c = row(3, cut_title, eid="2-s2.0-1234567", doi="10.1/y456", page=None, volume=None)
+    out, members = accepted(spark, tmp_path / "h", [a, b], [c], [row(4, cut_title, doi="10.1/y456", page="44")])
+    assert out == {1: None, 2: None, 3: 1, 4: 1} and members == {2: 1, 3: 1, 4: 1}
+
+
+def test_stand_ins_across_batches(spark, tmp_path):
+    rng = random.Random(3)
+    words = lambda: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8)) for _ in range(8))
+    past = [row(i, words(), doi="10.5/same123", page=str(i), volume="1") for i in range(20)]
+    later = [row(100, words(), doi="10.5/same123", page="200"), row(101, None, doi="10.5/same123", page=None, authors=None)]
+    assert accepted(spark, tmp_path / "h", past, later)[1] == {}
+
+
+def test_an_interrupted_batch_leaves_nothing(spark, tmp_path, monkeypatch):
+    past = h.History(spark, f"file://{tmp_path}/h")
+    past.accept(spark.createDataFrame([row(1)], SCHEMA))
+    with monkeypatch.context() as m:
+        m.setattr(h, "components", lambda links: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            past.accept(spark.createDataFrame([row(2, TITLE.upper())], SCHEMA))
+    assert past.batches() == [1]
+    got = past.accept(spark.createDataFrame([row(2, TITLE.upper())], SCHEMA)).collect()
+    assert [tuple(x) for x in got] == [(2, 1)]
+
+
+def test_batch_by_batch_as_the_whole(spark, small, tmp_path):
+    """Recall of the incremental path: what three batches find is what the whole table gives."""
+    records = spark.read.parquet(f"{small}/scopus_records.parquet")
+    whole = {x["record_id"]: x["first_record_id"] for x in h.found(records.drop("batch_no")).collect()}
+    past = h.History(spark, f"file://{tmp_path}/h")
+    for low, high in ((0, 4), (4, 8), (8, 99)):
+        past.accept(records.filter(f"batch_no > {low} and batch_no <= {high}"))
+    assert {x["node"]: x["root"] for x in past.members().collect()} == whole
+    assert {x["record_id"]: x["first_record_id"] for x in h.found(records).collect()} == whole
+
+
+def test_long_titles_are_aligned():
+    words = [f"word{i}x" for i in range(300)]
+    other = ["opening", *words[:299], "closing", words[299]]
+    assert r.same_title(" ".join(words), " ".join(other)) == "near"
+    assert r.same_title(" ".join(words), " ".join(f"thing{i}" for i in range(300))) == "other"
+
+
 def test_a_long_title_cut_very_short(spark):
     long = TITLE + " with results for several further samples, a comparison of storage lives, and notes on the use by untrained people at home"
     rows = [row(1, long, doi="10.1/a111"), row(2, long[:60] + "...", doi="10.1/b222")]
