@@ -9,9 +9,10 @@ cut into 8 chunks, so two within Hamming distance 7 agree in at least one, and t
 bits in the chunks, kept with the key, drop most pairs beyond that distance; of the five
 segments two may differ or be missing, so pairs within that radius agree in some three. (The
 triple of journal, year and volume is no key: in one journal the year gives the volume away.)
-A key that very many rows of both sides share is refined by each further segment, so that no
-bucket makes all its pairs. Titles under ``SHORT`` characters name no single work and are
-found by segments only.
+A key that very many rows of both sides share is dealt into blocks of ``BLOCK`` rows, and every
+block of one side meets every block of the other: no task makes all its pairs, none is lost.
+Titles under ``SHORT`` characters name no single work: the exact comparison takes them only
+with equal page and volume and the same authors or journal, so their segments find all of them.
 
 Every candidate pair gets the Dice coefficients of its vectors, field by field. The fields'
 levels make a bounded number of patterns; over the counts of the patterns of all pairs an
@@ -43,8 +44,8 @@ from citeforge.session import cut
 
 BITS, CHUNKS = 1024, 8
 SHORT = 30
-#: A key is refined if its rows of one side times those of the other are more than this.
-HOT = 4096
+#: Rows of one key and side that one task handles.
+BLOCK = 1000
 THRESHOLD = 0.5
 SEGMENTS = ["page", "volume", "year", "first", "journal"]
 _TRIPLES = [t for t in itertools.combinations(SEGMENTS, 3) if t != ("volume", "year", "journal")]
@@ -139,9 +140,9 @@ def encode_works(works: DataFrame) -> DataFrame:
 
 
 def _keyed(side: DataFrame) -> DataFrame:
-    """``id, key, weights`` and the segments: a row per key; ``weights`` (the numbers of bits in
-    the chunks of the title vector) only with the keys of chunks."""
-    each = side.select("id", "page", "volume", "year", "first", "journal", "weights", "chunked", F.posexplode("keys").alias("at", "key"))
+    """``id, key, weights``: a row per key; ``weights`` (the numbers of bits in the chunks of the
+    title vector) only with the keys of chunks."""
+    each = side.select("id", "weights", "chunked", F.posexplode("keys").alias("at", "key"))
     return each.withColumn("weights", F.when(F.col("chunked") & (F.col("at") < CHUNKS), F.col("weights"))).drop("at", "chunked")
 
 
@@ -162,16 +163,21 @@ def candidates(left: DataFrame, right: DataFrame) -> DataFrame:
         .filter((F.col("l") > 0) & (F.col("r") > 0))
     )
     shared = cut(counts, "link-keys")
-    hot = shared.filter(F.col("l") * F.col("r") > HOT).select("key", F.lit(True).alias("hot"))
-
-    def refined(side: DataFrame) -> DataFrame:
-        rows = side.join(shared.select("key"), "key", "left_semi").join(hot, "key", "left")
-        more = F.array_compact(
-            F.array(*[F.when(F.col(s).isNotNull(), F.xxhash64("key", F.lit(s), s)) for s in SEGMENTS])
-        )
-        return rows.select("id", "weights", F.explode(F.when(F.col("hot"), more).otherwise(F.array("key"))).alias("key"))
-
-    x, y = refined(a).alias("x"), refined(b).alias("y")
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("long")
+    hot = shared.filter((F.col("l") > BLOCK) | (F.col("r") > BLOCK)).select("key", blocks("l").alias("own_l"), blocks("r").alias("own_r"))
+    split = not hot.isEmpty()
+
+    def dealt(side: DataFrame, own: str, met: str, first: bool) -> DataFrame:
+        rows = side.join(shared.select("key"), "key", "left_semi")
+        if not split:
+            return rows
+        mine = F.pmod(F.xxhash64("id"), F.col(own))
+        others = F.sequence(F.lit(0).cast("long"), F.col(met) - 1)
+        keys = F.transform(others, lambda o: F.xxhash64("key", *((mine, o) if first else (o, mine))))
+        rows = rows.join(hot, "key", "left")
+        return rows.select("id", "weights", F.explode(F.when(F.col(own).isNotNull(), keys).otherwise(F.array("key"))).alias("key"))
+
+    x, y = dealt(a, "own_l", "own_r", True).alias("x"), dealt(b, "own_r", "own_l", False).alias("y")
     near = F.col("x.weights").isNull() | within_radius(F.col("x.weights"), F.col("y.weights"))
     return (
         x.join(y, F.col("x.key") == F.col("y.key"))

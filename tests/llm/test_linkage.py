@@ -74,3 +74,16 @@ def test_tables(spark):
     assert {p for p in got if p[0] < 100} == {(1, 1), (2, 1)}
     assert {p for p in got if p[0] >= 100} == {(100 + i, 100 + i) for i in range(60)}
     assert li.found(recs.limit(0), works).count() == 0 and li.found(recs, works.limit(0)).count() == 0
+
+
+def test_hot_keys_lose_no_pair(spark, monkeypatch):
+    """Candidates are the same however small the blocks are, also of rows with few segments."""
+    recs = spark.createDataFrame(
+        [(i, TITLE, None if i % 2 else "Doe, J.", "2020" if i % 3 else None, "Journal of Applied Things", None if i % 5 else "3", None, None) for i in range(40)], REC)
+    works = spark.createDataFrame([(i, None, [TITLE], None, (([[2020]],)) if i % 2 else None, "3" if i % 3 else None, None, ["J. Appl. Things"]) for i in range(30)], WORK)
+    left, right = li.encode_records(recs).cache(), li.encode_works(works).cache()
+    whole = {tuple(r) for r in li.candidates(left, right).collect()}
+    assert len(whole) == 40 * 30
+    monkeypatch.setattr(li, "BLOCK", 7)
+    rows = li.candidates(left, right).collect()
+    assert {tuple(r) for r in rows} == whole and len(rows) == len(whole)
