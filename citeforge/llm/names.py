@@ -71,6 +71,10 @@ NICKNAMES = {
 }
 #: A token is read as a neighbour, one or two edits away, that is this many times as frequent.
 LEAD = (8, 20)
+#: An error makes up at least this part (one in ...) of the rows in which its word occurs.
+OWN = 3
+#: Rows of one entity that one task pairs.
+BLOCK = 1000
 COUNTRIES = {
     "turkey": "tr", "turkiye": "tr", "italy": "it", "italia": "it", "united states": "us", "usa": "us", "united states of america": "us",
     "china": "cn", "p.r. china": "cn", "poland": "pl", "polska": "pl", "canada": "ca", "south korea": "kr", "republic of korea": "kr",
@@ -282,12 +286,12 @@ def spellings(names: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def replaced(forms: DataFrame, near: DataFrame) -> DataFrame:
-    """``a, b`` of forms that one reading of one of their words turns into each other: a word
-    that is no clear error by itself is one if everything else of the name agrees.
-    ``forms(form, words)``, the words sorted."""
-    swap = forms.select("form", "words", F.explode("words").alias("token")).join(near.select("token", "reading"), "token")
+    """``a, b`` of forms that one reading of one of their words turns into each other, with any
+    further columns of ``near(token, reading)`` and of ``forms(form, words)`` (the words sorted): a
+    word that is no clear error by itself is one if everything else of the name agrees."""
+    swap = forms.select("form", "words", F.explode("words").alias("token")).join(near, "token")
     other = F.array_sort(F.transform("words", lambda w: F.when(w == F.col("token"), F.col("reading")).otherwise(w)))
-    made = swap.select(F.col("form").alias("a"), other.alias("words"))
+    made = swap.select(F.col("form").alias("a"), other.alias("words"), *[c for c in near.columns if c not in ("token", "reading")])
     target = forms.select(F.col("form").alias("b"), "words", *[c for c in forms.columns if c not in ("form", "words")])
     return made.join(target, "words").filter("a <> b")
 
@@ -337,11 +341,12 @@ def persons(read: DataFrame, near: DataFrame) -> DataFrame:
     forms = full.groupBy("form").agg(
         F.split("form", "[|]").alias("words"), F.collect_set("country").alias("lands"), F.count("*").alias("n")
     )
-    # A rare first or family name is an error only if the countries agree and it is the rarer.
-    links = replaced(forms, near.filter("kind = 'person' and m <= 3 and n >= 2 * m").select("token", "reading"))
+    # A first or family name is an error only if the countries agree, if it is the rarer, if it
+    # stands in hardly any other name (true names do), and if the right name is not rarer still.
+    links = replaced(forms, near.filter("kind = 'person' and n >= 2 * m").select("token", "reading", "m"))
     own = forms.select(F.col("form").alias("a"), F.col("lands").alias("own"), F.col("n").alias("k"))
     agree = (F.size("own") == 0) | (F.size("lands") == 0) | F.arrays_overlap("own", "lands")
-    links = links.join(own, "a").filter(agree & (F.col("k") <= 2)).select("a", "b")
+    links = links.join(own, "a").filter(agree & (F.col("m") <= OWN * F.col("k")) & (F.col("k") <= OWN * F.col("n"))).select("a", "b")
     of_form = cut(components(forms.select("form"), links), "names-forms")
     full = full.join(of_form, "form")
     # What is known of each full name: its middle initials and countries, a handful of values.
@@ -403,12 +408,23 @@ def matches(a: str, b: str) -> bool:
 
 
 def aligned(a: list[str], b: list[str]) -> bool:
-    """True if an assignment exists under which every word of both has its counterpart."""
+    """True if an assignment exists under which every word of both has its counterpart: a perfect
+    matching, found by augmenting paths."""
     if len(a) != len(b):
         return False
-    if len(a) > 6:
-        return all(matches(x, y) for x, y in zip(sorted(a), sorted(b), strict=True))
-    return any(all(matches(x, y) for x, y in zip(a, p, strict=True)) for p in itertools.permutations(b))
+    fits = [[j for j, y in enumerate(b) if matches(x, y)] for x in a]
+    owner: dict[int, int] = {}
+
+    def place(i: int, tried: set[int]) -> bool:
+        for j in fits[i]:
+            if j not in tried:
+                tried.add(j)
+                if j not in owner or place(owner[j], tried):
+                    owner[j] = i
+                    return True
+        return False
+
+    return all(place(i, set()) for i in range(len(a)))
 
 
 def _org_rows(name_id, tokens):
@@ -462,8 +478,15 @@ def entities(names: DataFrame) -> DataFrame:
 
 
 def found(names: DataFrame) -> DataFrame:
-    """``name_id_a, name_id_b``: all pairs of rows with the same entity, the smaller id first."""
+    """``name_id_a, name_id_b``: all pairs of rows with the same entity, the smaller id first.
+
+    The rows of an entity are dealt into blocks of about ``BLOCK`` that all meet, so an entity of
+    very many rows is paired by as many tasks. Where the pairs are too many to be wanted,
+    ``entities`` says the same in one row a name."""
     of = cut(entities(names), "names-entities")
-    a = of.select(F.col("name_id").alias("name_id_a"), "entity")
-    b = of.select(F.col("name_id").alias("name_id_b"), "entity")
-    return a.join(b, "entity").filter("name_id_a < name_id_b").select("name_id_a", "name_id_b")
+    sizes = of.groupBy("entity").agg(F.count("*").alias("k")).filter("k > 1")
+    dealt = of.join(sizes.select("entity", F.ceil(F.col("k") / BLOCK).cast("long").alias("blocks")), "entity")
+    mine = F.pmod(F.xxhash64("name_id"), F.col("blocks"))
+    a = dealt.select(F.col("name_id").alias("name_id_a"), "entity", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("met"), mine.alias("own"))
+    b = dealt.select(F.col("name_id").alias("name_id_b"), "entity", mine.alias("met"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("own"))
+    return a.join(b, ["entity", "met", "own"]).filter("name_id_a < name_id_b").select("name_id_a", "name_id_b")

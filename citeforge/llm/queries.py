@@ -15,6 +15,11 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return names.found(_table(spark, folder, "party_names"))
 
 
+def p2_entities(spark: SparkSession, folder: str) -> DataFrame:
+    """One row a name: the entity it belongs to."""
+    return names.entities(_table(spark, folder, "party_names"))
+
+
 #: The fields of the exports in which damaged text is looked for.
 TEXT_FIELDS = ["authors", "affiliations", "title"]
 
@@ -57,6 +62,7 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "p2_found": p2_found,
+    "p2_entities": p2_entities,
     "p3_found": p3_found,
     "p3_restored": p3_restored,
     "p5_found": p5_found,

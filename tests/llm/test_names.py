@@ -1,5 +1,6 @@
 """Variant spellings: the index against brute force, and small tables of people and organisations."""
 
+import itertools
 import random
 
 import pytest
@@ -44,6 +45,35 @@ def test_parse_org():
     assert n.parse_org("Acme Print. Tech. Co., Ltd.") == ["acme", "print.", "tech."]
 
 
+def test_assignment_against_all_orders():
+    rng = random.Random(9)
+    words = ["chem.", "chemical", "chemistry", "phys.", "physics", "physical", "appl.", "applied", "print.", "printing", "lund", "lunds"]
+    for _ in range(400):
+        a, b = (rng.sample(words, k) for k in [rng.randint(1, 5)] * 2)
+        brute = any(all(n.matches(x, y) for x, y in zip(a, p, strict=True)) for p in itertools.permutations(b))
+        assert n.aligned(a, b) == brute
+    long = [f"{c}word{c}" for c in "abcdefghijkl"]
+    assert n.aligned(long, long[::-1]) and not n.aligned(long, [*long[1:], "other"])
+
+
+def test_an_error_that_recurs(spark):
+    """A misspelling counts against the right spelling, not against a fixed number."""
+    titles = ["", "Dr. ", "Prof. ", "Ms. ", "Mrs. ", "Ing. ", "Mr. ", "Dipl. "]
+    right = [("person", f"{t}Katrin Wolverhampten{e}", "DE") for t in titles for e in ("", ", PhD", ", Jr.")]
+    wrong = [("person", f"{t}Katrin Wolverhamtpen", "DE") for t in titles[:5]]
+    rows = [(i, *r) for i, r in enumerate(right + wrong)]
+    df = spark.createDataFrame(rows, "name_id long, name_kind string, name_text string, country string")
+    assert n.found(df).count() == len(rows) * (len(rows) - 1) // 2
+
+
+def test_blocks_of_an_entity_all_meet(spark, monkeypatch):
+    rows = [(i, "org", f"University of Lundby, Dept. {i}", None) for i in range(30)]
+    df = spark.createDataFrame(rows, "name_id long, name_kind string, name_text string, country string")
+    monkeypatch.setattr(n, "BLOCK", 4)
+    got = [tuple(r) for r in n.found(df).collect()]
+    assert len(got) == len(set(got)) == 30 * 29 // 2
+
+
 def test_entities(spark):
     groups = [
         [("person", "Kenneth Doering", "GB"), ("person", "DOERING, Kenneth", None), ("person", "K. Döring", "United Kingdom"), ("person", "Ken Doering", "GB"),
