@@ -183,7 +183,12 @@ def ascii_form(values: pd.Series) -> pd.Series:
 def clean_person(c: Column | str) -> Column:
     """[STR-08] Capitalised words without titles and signs; empty if under three characters
     or without a letter."""
-    bare = F.transform(words(F.lower(ascii_form(text(c)))), lambda w: F.regexp_replace(w, r"[^\w-]", ""))
+    return ascii_person(ascii_form(text(c)))
+
+
+def ascii_person(c: Column) -> Column:
+    """``clean_person`` of a name that is ASCII already: built-ins only, so lists can be mapped."""
+    bare = F.transform(words(F.lower(c)), lambda w: F.regexp_replace(w, r"[^\w-]", ""))
     kept = F.filter(bare, lambda w: (w != "") & ~w.isin(ACADEMIC_TITLES))
     name = F.array_join(F.transform(kept, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1_000_000))), " ")
     return F.when((F.length(name) >= 3) & name.rlike("[A-Za-z]"), name).otherwise("")
@@ -191,7 +196,12 @@ def clean_person(c: Column | str) -> Column:
 
 def clean_institution(c: Column | str) -> Column:
     """[STR-09] Without article, parentheses and what follows a comma, semicolon or dash."""
-    bare = F.regexp_replace(strip(ascii_form(text(c))), r"(?i)^(the|an|a)\s+", "")
+    return ascii_institution(ascii_form(text(c)))
+
+
+def ascii_institution(c: Column) -> Column:
+    """``clean_institution`` of a name that is ASCII already."""
+    bare = F.regexp_replace(strip(c), r"(?i)^(the|an|a)\s+", "")
     bare = F.regexp_replace(bare, r"\([^)]*\)", "")
     bare = F.array_join(words(F.substring_index(bare, ",", 1)), " ")
     return strip(F.substring_index(F.substring_index(bare, ";", 1), " - ", 1))

@@ -7,9 +7,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citeforge.functions.similarity import (
-    PATENT_THRESHOLDS, list_ratio, name_overlap, patent_confidence, sequence_ratio, subject_overlap, year_proximity,
+    PATENT_THRESHOLDS, SEQUENCE_MATCH, list_ratio, name_overlap, patent_confidence, sequence_ratio, subject_overlap, year_proximity,
+)
+from citeforge.functions.text import (
+    INSTITUTION_WORDS, ascii_form, ascii_institution, ascii_person, clean_institution, clean_person, split_list, text, year_of,
 )
-from citeforge.functions.text import INSTITUTION_WORDS, clean_institution, clean_person, split_list, text, year_of
 from citeforge.operators.ids import first_by
 from citeforge.operators.nested import node_tables
 from citeforge.session import cut
@@ -132,10 +134,19 @@ def search(patents: DataFrame, inventor: str | None = None, applicant: str | Non
 
 
 def publications(records: DataFrame, id_col: str = "record_id") -> DataFrame:
-    """``pub_id, title, year, author_list, institution_list, keywords`` [STR-11, WIN-07]."""
-    return records.select(
+    """``pub_id, title, year, people, institutions, contexts, keywords`` [STR-11, WIN-07, DAT-02]: ``people``
+    and ``institutions`` are the cleaned lower-case names that are scored, ``contexts`` the cleaned
+    names of all institutions listed with more than five characters, in their order."""
+    ascii_ = records.select(
         F.col(id_col).alias("pub_id"), text("title").alias("title"), F.col("pub_year").try_cast("int").alias("year"),
-        split_list("authors", ";", 2).alias("author_list"), split_list("affiliations", ";", 5).alias("institution_list"),
+        ascii_form(text("authors")).alias("authors"), ascii_form(text("affiliations")).alias("affiliations"), "author_keywords",
+    )
+    institution = lambda v: F.lower(ascii_institution(v))
+    return ascii_.select(
+        "pub_id", "title", "year",
+        F.filter(F.transform(split_list("authors", ";", 2), lambda v: F.lower(ascii_person(v))), lambda v: v != "").alias("people"),
+        F.filter(F.transform(split_list("affiliations"), institution), lambda v: F.length(v) > 5).alias("institutions"),
+        F.transform(split_list("affiliations", ";", 5), institution).alias("contexts"),
         split_list("author_keywords", ";", 2).alias("keywords"),
     )
 
@@ -144,13 +155,13 @@ def _parties(patents: DataFrame) -> dict[str, DataFrame]:
     """``lens_id, name, cleaned`` of inventors and applicants, from one walk of the records."""
     tables = node_tables(patents, written=True)
     clean = {"inventor": clean_person, "applicant": clean_institution}
-    return {k: cut(party_table(patents, k, tables).select("lens_id", "name", f("name").alias("cleaned")), k) for k, f in clean.items()}
+    return {k: cut(party_table(patents, k, tables).select("lens_id", "name", F.lower(f("name")).alias("cleaned")), k) for k, f in clean.items()}
 
 
 def _wide(pairs: DataFrame, pubs: DataFrame, patents: DataFrame, parties: dict[str, DataFrame]) -> DataFrame:
     """Candidate pairs with what all phases score: institutions, years, subjects, titles."""
     applicants = parties["applicant"].groupBy("lens_id").agg(F.collect_set("cleaned").alias("applicants"))
-    inventors = parties["inventor"].groupBy("lens_id").agg(F.collect_set("cleaned").alias("inventors"))
+    inventors = parties["inventor"].filter("cleaned <> ''").groupBy("lens_id").agg(F.collect_set("cleaned").alias("inventors"))
     rows = patent_table(patents).select("lens_id", F.col("title").alias("patent_title"), patent_year("publication_date").alias("patent_year"))
     none = F.array().cast("array<string>")
     return (
@@ -158,70 +169,73 @@ def _wide(pairs: DataFrame, pubs: DataFrame, patents: DataFrame, parties: dict[s
         .join(rows, "lens_id")
         .join(applicants, "lens_id", "left")
         .join(inventors, "lens_id", "left")
-        .withColumn("insts", F.transform("institution_list", lambda x: F.substring_index(x, ",", 1)))
-        .withColumn("inst_sim", list_ratio("insts", F.coalesce("applicants", none)))
+        .withColumn("applicants", F.coalesce("applicants", none))
         .withColumn("inventors", F.coalesce("inventors", none))
     )
 
 
 def _links(wide: DataFrame, kind: str, threshold: float | None, **scores: Column) -> DataFrame:
     zero = F.lit(0.0)
-    subject = subject_overlap(F.slice("keywords", 1, 3), F.col("patent_title"))
+    title = F.when(F.col("patent_title") != MISSING, F.col("patent_title"))
     score = patent_confidence(
-        kind, scores.get("name", zero), F.col("inst_sim"), year_proximity(F.col("year"), F.col("patent_year")), subject,
-        scores.get("author", zero), scores.get("title", zero),
+        kind, scores.get("name", zero), scores.get("institution", zero), year_proximity(F.col("year"), F.col("patent_year")),
+        subject_overlap(F.col("keywords"), title), scores.get("author", zero), scores.get("title", zero),
     )
     least = PATENT_THRESHOLDS[kind] if threshold is None else threshold
     return wide.select("pub_id", "lens_id", F.lit(kind).alias("link_type"), score.alias("confidence")).filter(F.col("confidence") >= least)
 
 
-def _first_last(name: Column | str) -> Column:
-    """``Last, First`` as ``First Last``, cleaned."""
-    parts = F.split(name, ",")
-    return clean_person(F.concat_ws(" ", F.when(F.size(parts) > 1, F.element_at(parts, -1)), parts[0]))
-
-
 def link_by_authors(records: DataFrame, patents: DataFrame, id_col: str = "record_id", most: int = 5, threshold: float | None = None) -> DataFrame:
-    """[JOIN-13, PIPE-15] ``pub_id, lens_id, link_type, confidence`` of the author phase.
+    """[JOIN-13, PIPE-15, SIM-10, SIM-11] ``pub_id, lens_id, link_type, confidence`` of the author phase.
 
-    Blocked by the family name of the first ``most`` authors and the inventors; the score is
-    the weighted sum of name, institution, year and subject similarity. A pair of publication
-    and patent is scored once, with its best pair of names."""
+    A patent is a candidate if an inventor has the family name (the last word) of one of the first
+    ``most`` authors (the first word of ``Last, F.``); the score is the weighted sum of name,
+    institution, year and subject similarity, the best of the authors' names with any inventor's."""
     pubs = publications(records, id_col)
-    family = lambda c: F.lower(F.element_at(F.split(c, " "), -1))
     parties = _parties(patents)
-    inventors = parties["inventor"].select("lens_id", F.col("cleaned").alias("inventor")).filter("inventor <> ''")
-    people = pubs.select("pub_id", F.explode(F.slice("author_list", 1, most)).alias("author"))
-    people = people.withColumn("cleaned", _first_last("author")).filter("cleaned <> ''")
-    pairs = (
-        people.withColumn("family", family("cleaned"))
-        .join(inventors.withColumn("family", family("inventor")), "family")
-        .withColumn("sim", sequence_ratio("cleaned", "inventor"))
-        .groupBy("pub_id", "lens_id")
-        .agg(F.max("sim").alias("name_sim"))
+    of_inventor = parties["inventor"].filter("cleaned <> ''").select("lens_id", F.element_at(F.split("cleaned", " "), -1).alias("family")).distinct()
+    # Written with the family name first, or last where there is no comma: either end may be it.
+    ends = F.array_distinct(F.flatten(F.transform(F.slice("people", 1, most), lambda p: F.array(F.substring_index(p, " ", 1), F.substring_index(p, " ", -1)))))
+    people = pubs.select("pub_id", F.explode(F.filter(ends, lambda w: F.length(w) > 1)).alias("family"))
+    pairs = people.join(of_inventor, "family").select("pub_id", "lens_id").distinct()
+    wide = _wide(pairs, pubs, patents, parties)
+    return _links(
+        wide, "author_match", threshold, name=list_ratio(F.slice("people", 1, most), "inventors"), institution=list_ratio("institutions", "applicants")
     )
-    return _links(_wide(pairs, pubs, patents, parties), "author_match", threshold, name=F.col("name_sim"))
+
+
+#: Institutions are searched for by names of at least this ratio.
+NAME_HIT = SEQUENCE_MATCH
+_KINDS = "|".join([*INSTITUTION_WORDS, "institut", "hospital", "technical", "department", "faculty"])
+
+
+def similar_names(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``a, b``: distinct names (column ``name``) of both sides whose ratio is at least ``NAME_HIT`` and
+    that share a telling word (of four letters and more that names no kind), or such a word with one
+    letter mistyped, left out or added: both sides are keyed by every such word and by the word
+    with each letter removed. A name without telling word is keyed as a whole."""
+    telling = F.filter(F.split("name", "[^a-z0-9]+"), lambda w: (F.length(w) >= 4) & ~w.rlike(_KINDS))
+    keyed = F.when(F.size(telling) > 0, telling).otherwise(F.array(F.regexp_replace("name", "[^a-z0-9]+", "")))
+    without = lambda w: F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(F.substring(w, 1, i - 1), F.substring(w, i + 1, F.length(w))))
+    keys = F.array_distinct(F.flatten(F.transform(F.filter(keyed, lambda w: w != ""), lambda w: F.concat(F.array(w), without(w)))))
+    sides = [df.select("name").filter("name <> ''").distinct().select("name", F.explode(keys).alias("key")) for df in (left, right)]
+    pairs = sides[0].withColumnRenamed("name", "a").join(sides[1].withColumnRenamed("name", "b"), "key").select("a", "b").distinct()
+    return pairs.filter(sequence_ratio("a", "b") >= NAME_HIT)
 
 
 def link_by_institutions(records: DataFrame, patents: DataFrame, id_col: str = "record_id", most: int = 3, threshold: float | None = None) -> DataFrame:
-    """[SIM-17] The institution phase: one of the first ``most`` institutions and an applicant
-    have the same rarest word of five letters and more that names no kind of institution."""
+    """[SIM-12, SIM-13, SIM-17] The institution phase: an applicant has a name like one of the first
+    ``most`` institutions (``similar_names``, over the few distinct names)."""
     pubs = publications(records, id_col)
-    kinds = "|".join([*INSTITUTION_WORDS, "institut", "hospital", "technical", "department", "faculty"])
-    telling = F.filter(F.split(F.lower("name"), "[^a-z0-9]+"), lambda w: (F.length(w) >= 5) & ~w.rlike(kinds))
-    left = pubs.select("pub_id", F.explode(F.slice("institution_list", 1, most)).alias("raw")).withColumn("name", clean_institution("raw"))
     parties = _parties(patents)
+    left = cut(pubs.select("pub_id", F.explode(F.slice("contexts", 1, most)).alias("name")), "institution-contexts")
     right = parties["applicant"].select("lens_id", F.col("cleaned").alias("name"))
-    names = cut(left.select("name").union(right.select("name")).filter("name <> ''").distinct(), "institution-names")
-    words = names.select("name", F.explode(F.array_distinct(telling)).alias("word"))
-    spread = words.groupBy("word").agg(F.count("*").alias("n"))
-    rarest = words.join(spread, "word").groupBy("name").agg(F.min_by("word", F.struct("n", "word")).alias("word"))
-    rarest = cut(rarest, "institution-words")
-    a = left.join(rarest, "name").select("pub_id", "word").distinct()
-    pairs = a.join(right.join(rarest, "name").select("lens_id", "word").distinct(), "word").select("pub_id", "lens_id").distinct()
-    wide = _wide(pairs, pubs, patents, parties).withColumn("people", F.transform("author_list", lambda a: F.lower(F.substring_index(a, ",", 1))))
-    author = name_overlap("people", F.transform("inventors", lambda n: F.lower(F.element_at(F.split(n, " "), -1))))
-    return _links(wide, "institution_match", threshold, author=author)
+    near = cut(similar_names(left, right), "institution-names")
+    pairs = left.join(near.withColumnRenamed("a", "name"), "name").select("pub_id", F.col("b").alias("name")).join(right, "name").select("pub_id", "lens_id").distinct()
+    return _links(
+        _wide(pairs, pubs, patents, parties), "institution_match", threshold,
+        institution=list_ratio(F.slice("contexts", 1, most), "applicants"), author=name_overlap(F.array_distinct("people"), "inventors"),
+    )
 
 
 def containing(titles: DataFrame, keys: DataFrame) -> DataFrame:
@@ -236,7 +250,7 @@ def containing(titles: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def link_by_subjects(records: DataFrame, patents: DataFrame, id_col: str = "record_id", most: int = 3, threshold: float | None = None) -> DataFrame:
-    """[SIM-18] The subject phase: a patent's title holds one of the first ``most`` keywords."""
+    """[SIM-14, SIM-18] The subject phase: a patent's title holds one of the first ``most`` keywords."""
     pubs = publications(records, id_col)
     keys = pubs.select("pub_id", F.explode(F.slice("keywords", 1, most)).alias("k")).withColumn("k", F.lower("k"))
     titles = cut(patent_table(patents).select("lens_id", F.lower("title").alias("t")), "subject-titles")

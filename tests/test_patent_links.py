@@ -1,6 +1,10 @@
 """Subject links: keywords anywhere in patent titles."""
 
-from pyspark.sql import functions as F
+import difflib
+import re
+import unicodedata
+
+import pytest
 
 from citeforge.operators import patents
 
@@ -21,3 +25,98 @@ def test_a_keyword_before_a_colon_or_within_a_word_links(spark, monkeypatch):
     monkeypatch.setattr(patents, "_parties", lambda p: none)
     got = {r["lens_id"] for r in patents.link_by_subjects(pubs, titles, threshold=0.0).collect()}
     assert got == {str(i) for i, t in enumerate(TITLES) if "chip" in t or "water" in t}
+
+
+def _ascii(x):
+    return unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode()
+
+
+def _person(x):
+    return " ".join(w for w in (re.sub(r"[^\w-]", "", w) for w in _ascii(x).lower().split()) if w not in ("dr", "prof", "phd"))
+
+
+def _place(x):
+    return re.sub(r"^(the|an|a)\s+", "", _ascii(x), flags=re.I).split(",")[0].strip().lower()
+
+
+def _best(xs, ys):
+    return max((difflib.SequenceMatcher(None, x, y).ratio() for x in xs for y in ys), default=0.0)
+
+
+PUBS = [
+    (1, "Doe, Jane; Roé, K.", "Université of Lundby, Dept X, France; Quatutrent Printing, Sweden", "chip; ink layer; water", "2019", "A chip of ink"),
+    (2, "Wang, L.; Wang, Q.; Poe, A.", "Institute of Y; Ab; The Kalmar Sensors, Kalmar", "reader", "2021", "Some reader"),
+    (3, "", "", "", None, None),
+    (4, "Jane Doe", "Quatutrent Ptinting", "gel; wax ink; paper; chip", "2010", "Gel"),
+]
+PATENTS = [
+    ("a", "Ink layer on a chip", "2020-01-02", ["Jane Doe", "Karl Roe"], ["Universite of Lundby"]),
+    ("b", "Readers of sensors", "2018-05-06", ["Lei Wang"], ["Kalmar Sensor Ltd", "Quatutrent Ptinting"]),
+    ("c", "N/A", "N/A", [], []),
+    ("d", "Wax ink for paper with a gel and a chip", "2012", ["Qi Wang", "Anna Poe"], ["Quatutrent Printing"]),
+]
+
+
+@pytest.fixture
+def linked(spark, monkeypatch):
+    pubs = spark.createDataFrame(PUBS, "record_id long, authors string, affiliations string, author_keywords string, pub_year string, title string")
+    titles = spark.createDataFrame([p[:3] for p in PATENTS], "lens_id string, title string, publication_date string")
+    parties = {
+        k: spark.createDataFrame([(p[0], n, f(n)) for p in PATENTS for n in p[i]], "lens_id string, name string, cleaned string")
+        for k, i, f in (("inventor", 3, _person), ("applicant", 4, _place))
+    }
+    monkeypatch.setattr(patents, "patent_table", lambda p: p)
+    monkeypatch.setattr(patents, "_parties", lambda p: parties)
+    return pubs, titles
+
+
+def _scores(kind):
+    """Every pair's confidence by the plain rules, whatever the candidates."""
+    out = {}
+    for rid, authors, places, keys, year, title in PUBS:
+        people = [_person(a.strip()) for a in authors.split(";") if len(a.strip()) > 2]
+        insts = [p for p in (_place(a.strip()) for a in places.split(";")) if len(p) > 5]
+        first = [_place(a.strip()) for a in places.split(";") if len(a.strip()) > 5][:3]
+        words = [k.strip() for k in keys.split(";") if len(k.strip()) > 2]
+        for lens, ptitle, date, inventors, applicants in PATENTS:
+            inv, app = [_person(i) for i in inventors], [_place(a) for a in applicants]
+            near = 0.0
+            if year and date != "N/A":
+                lag = int(date[:4]) - int(year)
+                near = (1.0 if lag <= 1 else 0.8 if lag <= 3 else 0.6 if lag <= 5 else 0.3 if lag <= 10 else 0.1) if lag >= 0 else (0.7 if lag >= -1 else 0.4 if lag >= -3 else 0.2 if lag >= -5 else 0.1)
+            subject = sum(w.lower() in ptitle.lower() for w in words) / len(words) if words and ptitle != "N/A" else 0.0
+            if kind == "author_match":
+                score = 0.4 * _best(people[:5], inv) + 0.3 * _best(insts, app) + 0.2 * near + 0.1 * subject
+            elif kind == "institution_match":
+                hits = sum(any(difflib.SequenceMatcher(None, x, y).ratio() > 0.8 for y in set(inv)) for x in set(people))
+                overlap = hits / max(len(set(people)), len(set(inv))) if people and inv else 0.0
+                score = 0.5 * _best(first, app) + 0.25 * overlap + 0.15 * near + 0.1 * subject
+            else:
+                ratio = _best([title.lower()], [ptitle.lower()]) if title and ptitle != "N/A" else 0.0
+                score = 0.6 * subject + 0.25 * ratio + 0.15 * near
+            out[rid, lens] = score
+    return out
+
+
+@pytest.mark.parametrize(
+    ("phase", "kind", "candidates"),
+    [
+        (patents.link_by_authors, "author_match", {(1, "a"), (4, "a"), (2, "b"), (2, "d")}),
+        (patents.link_by_institutions, "institution_match", {(1, "a"), (1, "b"), (1, "d"), (4, "b"), (4, "d"), (2, "b")}),
+        (patents.link_by_subjects, "subject_match", {(1, "a"), (1, "d"), (2, "b"), (4, "d")}),
+    ],
+)
+def test_scores_against_the_plain_rules(linked, phase, kind, candidates):
+    got = {(r["pub_id"], r["lens_id"]): r["confidence"] for r in phase(*linked, threshold=0.0).collect()}
+    assert set(got) == candidates
+    plain = _scores(kind)
+    assert got == {k: pytest.approx(plain[k]) for k in candidates}
+
+
+def test_similar_names_against_brute_force(spark):
+    left = ["quatutrent printing", "kalmar sensors", "university of lundby", "acme", "abc", "institute of photonics", "lundby hospital"]
+    right = ["quatutrent ptinting", "kalmar sensor ltd", "universiyt of lundby", "acne", "abd", "institute of photonics", "lundby", "other works"]
+    got = {tuple(r) for r in patents.similar_names(spark.createDataFrame([(x,) for x in left], "name string"), spark.createDataFrame([(x,) for x in right], "name string")).collect()}
+    brute = {(x, y) for x in left for y in right if difflib.SequenceMatcher(None, x, y).ratio() >= 0.8}
+    # Short names with an error in their only word are keyed by that word without a letter.
+    assert got <= brute and brute - got == set()
