@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeforge.functions import similarity, text
+from citeforge.plans.problems import ID_TABLE, NODES_SQL, table_sql
 from citeforge.operators import analytics, coverage, details, entities, ids, matching, patents, quality
 from citeforge.session import shared_dir
 from citeforge.streaming import ingest
@@ -278,6 +279,41 @@ SELECT record_id, work_id, least(greatest({_D(0.85)} + CASE WHEN year_match THEN
     + CASE WHEN author_sim > 0.5 THEN {_D(0.1)} WHEN author_sim < 0.2 AND len(la) > 0 AND len(lb) > 0 THEN {_D(-0.1)} ELSE {_D(0.0)} END
     + CASE WHEN volume_match AND pages_match THEN {_D(0.1)} WHEN NOT volume_match THEN {_D(-0.2)} ELSE {_D(0.0)} END, {_D(0)}), {_D(1)}) AS confidence,
   title_sim, author_sim, year_match, volume_match, pages_match FROM q"""
+_ASCII = lambda x: f"regexp_replace(strip_accents({_TXT(x)}), '[^\\x00-\\x7f]', '', 'g')"
+_TITLE_LIST = "[" + ", ".join(f"'{t}'" for t in sorted(text.ACADEMIC_TITLES)) + "]"
+
+
+def _PERSON_SQL(x: str) -> str:  # noqa: N802
+    bare = f"list_transform({_WORDS(f'lower({_ASCII(x)})')}, lambda v: regexp_replace(v, '[^\\w-]', '', 'g'))"
+    kept = f"list_filter({bare}, lambda v: v <> '' AND NOT list_contains({_TITLE_LIST}, v))"
+    name = f"array_to_string(list_transform({kept}, lambda v: upper(substr(v, 1, 1)) || substr(v, 2)), ' ')"
+    return f"CASE WHEN length({name}) >= 3 AND regexp_matches({name}, '[A-Za-z]') THEN {name} ELSE '' END"
+
+
+def _INSTITUTION_SQL(x: str) -> str:  # noqa: N802
+    bare = f"regexp_replace({_STRIP(_ASCII(x))}, '^(the|an|a){_WS}+', '', 'i')"
+    bare = f"regexp_replace({bare}, '\\([^)]*\\)', '', 'g')"
+    bare = f"array_to_string({_WORDS(f'split_part({bare}, {chr(39)},{chr(39)}, 1)')}, ' ')"
+    return _STRIP(f"split_part(split_part({bare}, ';', 1), ' - ', 1)")
+
+
+_WORD_SET = lambda x: f"list_distinct({_WORDS(x)})"
+_BARE_TITLE = lambda x: f"regexp_replace(lower({_TXT(x)}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')"
+_MATCH_TITLE = f"""WITH l AS (SELECT record_id, title, authors, pub_year AS year, lower({_TXT('title')}) AS t FROM scopus_records),
+  r AS (SELECT work_id, title[1] AS w_title, lower(coalesce(title[1], '')) AS t, CAST(published.date_parts[1][1] AS VARCHAR) AS w_year,
+    array_to_string(list_transform(coalesce(author, []), lambda a: CASE WHEN coalesce(a.given, '') <> '' THEN coalesce(a.family, '') || ', ' || substr(a.given, 1, 1) || '.' ELSE coalesce(a.family, '') END), '; ') AS w_authors
+    FROM crossref_works),
+  a AS (SELECT DISTINCT t, {_WORD_SET('t')} AS raw, {_WORD_SET(_BARE_TITLE('t'))} AS bare FROM l),
+  b AS (SELECT DISTINCT t, {_WORD_SET('t')} AS raw, {_WORD_SET(_BARE_TITLE('t'))} AS bare FROM r),
+  n AS (SELECT a.t AS ta, b.t AS tb FROM a JOIN b ON len(list_intersect(a.raw, b.raw)) >= 0.65 * len(list_distinct(a.raw || b.raw)) AND len(a.raw) > 0 AND len(b.raw) > 0
+     OR len(list_intersect(a.bare, b.bare)) >= 0.65 * len(list_distinct(a.bare || b.bare)) AND len(a.bare) > 0 AND len(b.bare) > 0),
+  p AS (SELECT record_id, work_id, {_WORDS('l.t')} AS tw, {_WORDS('r.t')} AS ww, {_LAST('authors')} AS la, {_LAST('w_authors')} AS lb,
+    {_STRIP(_TXT('year'))} <> '' AND {_TXT('w_year')} <> '' AS known_year, {_STRIP(_TXT('year'))} = {_TXT('w_year')} AS years
+    FROM n JOIN l ON l.t = ta JOIN r ON r.t = tb),
+  q AS (SELECT *, {_SIM('tw', 'ww')} AS title_sim, {_SIM('la', 'lb')} AS author_sim FROM p),
+  s AS (SELECT record_id, work_id, title_sim, least(greatest({_D(0.70)} + CASE WHEN known_year AND years THEN {_D(0.1)} WHEN known_year THEN {_D(-0.3)} ELSE {_D(-0.1)} END
+    + CASE WHEN author_sim > 0.5 THEN {_D(0.1)} WHEN author_sim < 0.2 AND len(la) > 0 AND len(lb) > 0 THEN {_D(-0.1)} ELSE {_D(0.0)} END, {_D(0)}), {_D(1)}) AS confidence FROM q)
+SELECT record_id, work_id, 'title' AS method, confidence FROM s QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY confidence DESC, title_sim DESC, work_id) = 1"""
 _POPULATION = f"""WITH {_KEPT}, {_AUTHOR_TOKENS}, {_INST_TOKENS}, {_KW_TOKENS},
   e AS (SELECT item, count(DISTINCT token) AS expected FROM ({" UNION ALL ".join(f"SELECT '{n}' AS item, unnest({_LIST(c)}) AS token FROM kept" for n, c in {"authors": "author_ids", "affiliations": "affiliations", "author_keywords": "author_keywords", "index_keywords": "index_keywords"}.items())}) GROUP BY 1),
   a AS (SELECT 'authors' AS item, count(DISTINCT scopus_id) AS actual FROM atok UNION ALL SELECT 'affiliations', count(DISTINCT canonical_name) FROM it UNION ALL SELECT 'author_keywords', count(DISTINCT normalized_text) FROM kt WHERE pass = 0)
@@ -331,6 +367,20 @@ SQL = {
     "expected_counts": "SELECT item, count(DISTINCT token) AS distinct_items, count(*) AS items FROM (" + " UNION ALL ".join(f"SELECT '{n}' AS item, unnest({_LIST(c)}) AS token FROM scopus_records" for n, c in {"authors": "author_ids", "affiliations": "affiliations", "author_keywords": "author_keywords", "index_keywords": "index_keywords"}.items()) + ") GROUP BY 1",
     "patents_flat": f"WITH {_FLAT} SELECT * EXCLUDE (citation_confirmed) FROM flat",
     "patent_table": f"WITH {_FLAT}, {_PATENT_ROWS} SELECT * FROM pr",
+    **{
+        f"patent_{kind}s": f"{NODES_SQL}, {_FLAT}, n AS ({table_sql(kind)}) SELECT lens_id, name, {mins} FROM n JOIN flat USING (rec_id) WHERE name IS NOT NULL AND name NOT IN ('', 'N/A') GROUP BY 1, 2"
+        for kind, mins in (("inventor", "min(residence) AS residence"), ("applicant", 'min(residence) AS residence, min("type") AS "type"'))
+    },
+    "patent_confirmation": f"""{NODES_SQL}, c AS ({table_sql("citation")}), v AS ({ID_TABLE}), t AS (SELECT rec_id, target_doi FROM citing_patents_analysis WHERE target_doi <> ''),
+      h AS (SELECT c.rec_id, c.child_no, c.sequence FROM c JOIN v ON v.rec_id = c.rec_id AND v.parent_no = c.child_no JOIN t ON t.rec_id = c.rec_id WHERE value = target_doi
+        UNION ALL SELECT c.rec_id, child_no, sequence FROM c JOIN t USING (rec_id) WHERE contains(text, target_doi)),
+      f AS (SELECT rec_id, arg_min(sequence, child_no) AS s FROM h GROUP BY 1)
+      SELECT rec_id, f.rec_id IS NOT NULL AS citation_confirmed, coalesce(s, 'N/A') AS citation_sequence FROM citing_patents_analysis LEFT JOIN f USING (rec_id)""",
+    "citing_lookup": f"""{NODES_SQL}, c AS ({table_sql("citation")}), v AS ({ID_TABLE})
+      SELECT v.rec_id, doi, CAST(v.parent_no AS INTEGER) AS citation_no, sequence FROM v JOIN (SELECT DISTINCT doi FROM scopus_records WHERE doi <> '') d ON lower(value) = lower(doi)
+      JOIN c ON c.rec_id = v.rec_id AND c.child_no = v.parent_no""",
+    "clean_names": f"SELECT name_id, {_PERSON_SQL('name_text')} AS person, {_INSTITUTION_SQL('name_text')} AS institution FROM party_names",
+    "match_by_title": _MATCH_TITLE,
     "patent_summary": f"WITH {_FLAT}, u AS (SELECT * FROM flat QUALIFY row_number() OVER (PARTITION BY lens_id ORDER BY rec_id) = 1) SELECT 'jurisdiction' AS dimension, jurisdiction AS value, count(*) AS patents FROM u GROUP BY 2 UNION ALL SELECT 'legal_status', legal_status, count(*) FROM u GROUP BY 2",
     "patent_filing_range": f"WITH {_FLAT} SELECT min(filing_date) AS first_filing, max(filing_date) AS last_filing FROM flat WHERE filing_date <> 'N/A'",
     "patent_search": f"WITH {_FLAT}, {_PATENT_ROWS} SELECT * FROM pr WHERE contains(lower(title), 'micropump') ORDER BY publication_date DESC, lens_id LIMIT 25",

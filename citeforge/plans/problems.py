@@ -126,7 +126,46 @@ SELECT w.rec_id, child_kind AS kind, child_no, CAST(pre AS INTEGER) AS pre,
   CAST(pre + CASE WHEN child_kind = 'citation' THEN coalesce(n, 0) ELSE 0 END - CASE WHEN child_kind = 'external_id' THEN 2 ELSE 1 END AS INTEGER) AS post
 FROM w LEFT JOIN s ON s.rec_id = w.rec_id AND child_kind = 'citation' AND s.parent_no = w.child_no"""
 
+#: Every node of the two deliveries as JSON with its place, and its interval.
+_TEXT = lambda x, *paths: "coalesce(" + ", ".join(f"{x} ->> '{p}'" for p in paths) + ", NULL)"
+_COLUMN_OF = {"priority_claim": "priority_claims", "inventor": "inventors", "applicant": "applicants", "citation": "citations"}
+_IN_COLUMNS = " UNION ALL ".join(
+    f"SELECT rec_id, '{kind}' AS kind, i, to_json(x) AS x FROM (SELECT rec_id, unnest(range(1, len({c}) + 1)) AS i, unnest({c}) AS x FROM citing_patents_analysis) WHERE x IS NOT NULL"
+    for kind, c in _COLUMN_OF.items()
+)
+_NODES = f"""places AS ({_P1_INTERVALS}),
+payload AS ({_p1_sql().split("SELECT rec_id, child_kind, CAST(parent_no")[0].rstrip()} SELECT rec_id, child_kind AS kind, i, x FROM made),
+payload_ids AS ({_p1_sql().split("SELECT rec_id, child_kind, CAST(parent_no")[0].rstrip()} SELECT rec_id, i, k, e ->> '$' AS value FROM ids WHERE json_type(e) <> 'NULL' UNION ALL SELECT rec_id, i, k, e FROM flat_ids WHERE e IS NOT NULL),
+elements AS ({_IN_COLUMNS} UNION ALL SELECT rec_id, kind, i, x FROM payload),
+nodes AS (SELECT p.*, x FROM places p JOIN elements e ON e.rec_id = p.rec_id AND e.kind = p.kind AND e.i = p.child_no AND p.kind <> 'external_id')"""
+_NAME = "coalesce(x ->> '$.name.name', CASE WHEN json_type(x, '$.name') <> 'OBJECT' THEN x ->> '$.name' END)"
+_FIELD_SQL = {
+    "priority_claim": {"jurisdiction": _TEXT("x", "$.jurisdiction"), "number": _TEXT("x", "$.doc_number", "$.number"), "date": _TEXT("x", "$.date")},
+    "inventor": {"name": _NAME, "residence": _TEXT("x", "$.residence")},
+    "applicant": {"name": _NAME, "residence": _TEXT("x", "$.residence"), "type": _TEXT("x", "$.type")},
+    "citation": {
+        "sequence": _TEXT("x", "$.sequence"), "text": _TEXT("x", "$.nplcit.text"),
+        "jurisdiction": _TEXT("x", "$.patcit.document_id.jurisdiction", "$.patcit.jurisdiction"),
+        "doc_number": _TEXT("x", "$.patcit.document_id.doc_number", "$.patcit.doc_number"),
+    },
+}
+
+
+def table_sql(kind: str) -> str:
+    """A kind's flat table as a query over ``_NODES``."""
+    fields = ", ".join(f"{v} AS {k}" for k, v in _FIELD_SQL[kind].items())
+    return f"SELECT rec_id, pre, post, child_no, {fields} FROM nodes WHERE kind = '{kind}'"
+
+
+#: External ids with their intervals: within a citation they follow it in order.
+ID_TABLE = """SELECT c.rec_id, c.child_no AS parent_no, k AS child_no, value,
+  c.pre + row_number() OVER (PARTITION BY c.rec_id, c.child_no ORDER BY k) AS pre FROM payload_ids v JOIN places c ON c.rec_id = v.rec_id AND c.kind = 'citation' AND c.child_no = v.i"""
+NODES_SQL = f"WITH {_NODES}"
+
 SQL = {
+    **{f"p1_{kind}s": f"{NODES_SQL} {table_sql(kind)}" for kind in _FIELD_SQL},
+    "p1_external_ids": f"{NODES_SQL} SELECT rec_id, CAST(pre AS INTEGER) AS pre, CAST(pre - 2 AS INTEGER) AS post, CAST(child_no AS INTEGER) AS child_no, value FROM ({ID_TABLE})",
+    "p1_external_ids_linked": f"{NODES_SQL} SELECT rec_id, CAST(pre AS INTEGER) AS pre, CAST(pre - 2 AS INTEGER) AS post, CAST(child_no AS INTEGER) AS child_no, value, CAST(parent_no AS INTEGER) AS parent_no FROM ({ID_TABLE})",
     "p1_found": _p1_sql(),
     "p1_intervals": _P1_INTERVALS,
     "p4_found": f"{_P4} SELECT line_id, reason FROM (SELECT line_id, {_P4_REASON} AS reason FROM b) WHERE reason IS NOT NULL",
