@@ -99,11 +99,48 @@ def author_profile(pubs: DataFrame, links: DataFrame, name: str) -> DataFrame:
 
 
 def author_patents(pubs: DataFrame, links: DataFrame, patents: DataFrame, name: str) -> DataFrame:
-    """[SET-05, ORD-02] Distinct patents linked to an author's publications."""
+    """[SET-05, ORD-02] Distinct patents linked to an author's publications, the surest and newest first."""
     own = pubs.filter(F.contains(F.lower(text("authors")), F.lit(name.lower()))).select("pub_id", F.col("title").alias("pub_title"), "year")
-    return links.join(own, "pub_id").join(patents, "lens_id").select(
+    found = links.join(own, "pub_id").join(patents, "lens_id").select(
         "lens_id", "title", "publication_date", "jurisdiction", "pub_title", "year", "confidence"
     ).distinct()
+    return found.orderBy(F.desc("confidence"), F.desc("publication_date"), "lens_id", "pub_title")
+
+
+def patents_of(links: DataFrame, patents: DataFrame, publications: DataFrame) -> DataFrame:
+    """[JOIN-05] Patents linked to any of a list of publications (``pub_id``): a semi-join."""
+    return links.join(publications.select("pub_id"), "pub_id", "left_semi").join(patents, "lens_id")
+
+
+def institution_patents(pubs: DataFrame, links: DataFrame, patents: DataFrame, name: str) -> DataFrame:
+    """Distinct patents linked to publications whose affiliations name an institution, the surest
+    and newest first."""
+    own = pubs.filter(F.contains(F.lower(text("affiliations")), F.lit(name.lower()))).select("pub_id", F.col("title").alias("pub_title"), "authors")
+    found = patents_of(links, patents, own).join(own, "pub_id").select(
+        "lens_id", "title", "publication_date", "confidence", "link_type", "pub_title", "authors"
+    ).distinct()
+    return found.orderBy(F.desc("confidence"), F.desc("publication_date"), "lens_id", "pub_title")
+
+
+def patented_subjects(pubs: DataFrame, links: DataFrame, least: float = 0.7, least_links: int = 3, limit: int | None = None) -> DataFrame:
+    """[AGG-15] Keyword heads (50 characters) by how many sure links their publications have."""
+    heads = pubs.select("pub_id", F.substring(text("author_keywords"), 1, 50).alias("subject")).filter("subject <> ''")
+    counts = links.filter(F.col("confidence") >= least).join(heads, "pub_id").groupBy("subject").agg(F.count("*").alias("links"))
+    counts = counts.filter(F.col("links") >= least_links)
+    return counts.orderBy(F.desc("links"), "subject").limit(limit) if limit else counts
+
+
+def technology_transfer(pubs: DataFrame, links: DataFrame, patents: DataFrame, limit: int = 20) -> dict[str, DataFrame]:
+    """Time lags between publication and patent, and the most patented subjects, as two frames."""
+    return {"time_lags": lag_histogram(pubs, links, patents).orderBy("lag"), "subjects": patented_subjects(pubs, links, limit=limit)}
+
+
+def enrichment_stats(links: DataFrame, patents: DataFrame, processed: DataFrame) -> DataFrame:
+    """[AGG-26] One row: publications processed, patents, links, and links by band of confidence."""
+    bands = band(F.col("confidence"))
+    return processed.agg(F.count("*").alias("processed")).join(patents.agg(F.count("*").alias("patents")), F.lit(True)).join(
+        links.agg(F.count("*").alias("links"), *[F.count(F.when(bands == b, 1)).alias(f"{b}_links") for b in ("high", "medium", "low")]), F.lit(True)
+    )
 
 
 def stats(tables: dict[str, DataFrame]) -> DataFrame:

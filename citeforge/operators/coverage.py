@@ -84,15 +84,20 @@ def completeness(records: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def recovery_potential(records: DataFrame) -> DataFrame:
-    """[AGG-20, STR-28] Records without DOI by the way in which one could be found."""
+def recovery_way(records: DataFrame) -> Column:
+    """[STR-28] The way in which a record's DOI could be found."""
     has_pmid = ~blank("pubmed_id") if "pubmed_id" in records.columns else F.lit(False)
-    way = (
+    return (
         F.when(has_pmid, "pmid")
         .when(~blank("source_title") & (~blank("volume") | ~blank("page_start")), "journal")
         .when(F.length(text("title")) >= 10, "title")
         .otherwise("insufficient")
     )
+
+
+def recovery_potential(records: DataFrame) -> DataFrame:
+    """[AGG-20] Records without DOI by that way."""
+    way = recovery_way(records)
     return records.filter(blank("doi")).groupBy(way.alias("way")).agg(F.count("*").alias("records"))
 
 
@@ -153,10 +158,44 @@ def not_empty(name: str, table: DataFrame, if_any: DataFrame | None = None) -> D
     return check(name, both, (F.col("n") > 0) | (F.col("m") == 0), F.concat_ws(" of ", F.col("n").cast("string"), F.col("m").cast("string")))
 
 
-def special_characters(name: str, table: DataFrame, column: str = "title") -> DataFrame:
-    """[VAL-10, FLT-10] How many values hold letters outside ASCII."""
-    n = table.agg(F.count(F.when(text(column).rlike("[üäöéñç]"), 1)).alias("n"))
-    return check(name, n, F.lit(True), F.concat(F.col("n").cast("string"), F.lit(" with special characters")))
+def special_characters(name: str, table: DataFrame, source: DataFrame, key: str, column: str = "title") -> DataFrame:
+    """[VAL-10, FLT-10] Values of the source with letters outside ASCII are stored as they are."""
+    theirs = source.select(key, text(column).alias("s")).filter(F.col("s").rlike(r"[^\x00-\x7f]"))
+    joined = theirs.join(table.select(key, F.col(column).alias("t")), key, "left")
+    n = joined.agg(F.count("*").alias("n"), F.count(F.when(~F.col("s").eqNullSafe(F.col("t")), 1)).alias("bad"))
+    return check(name, n, F.col("bad") == 0, F.concat(F.col("n").cast("string"), F.lit(" with special characters, "), F.col("bad").cast("string"), F.lit(" changed")))
+
+
+def same_content(name: str, table: DataFrame, source: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """[VAL-02] Every row of the source is stored with the same texts, whatever their number."""
+    mine = table.select(key, F.struct(*[text(c).alias(c) for c in columns]).alias("m"), F.lit(1).alias("there"))
+    joined = source.select(key, F.struct(*[text(c).alias(c) for c in columns]).alias("t")).join(mine, key, "left")
+    n = joined.agg(F.count(F.when(~F.col("t").eqNullSafe(F.col("m")), 1)).alias("n"))
+    return check(name, n, F.col("n") == 0, F.concat(F.col("n").cast("string"), F.lit(" rows differ")))
+
+
+def first_author(name: str, bridge: DataFrame, masters: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """[VAL-03, JOIN-19] The first record that lists an author with an id has it in first place."""
+    given = source.filter((F.size(split_list("authors")) > 0) & (F.size(split_list("author_ids")) > 0))
+    first = given.agg(F.min(key).alias(key), F.count("*").alias("m"))
+    hit = first.join(bridge.filter("position = 1"), key, "left").join(masters.select("author_id", F.lit(1).alias("known")), "author_id", "left")
+    n = hit.agg(F.max("m").alias("m"), F.count("known").alias("n"))
+    return check(name, n, (F.col("m") == 0) | (F.col("n") > 0), F.concat(F.col("n").cast("string"), F.lit(" first authors of the first record")))
+
+
+def near_counts(name: str, counts: DataFrame, expected: DataFrame, key: str, percent_off: float = 5.0) -> DataFrame:
+    """[VAL-04] ``expected(key, n)`` beside ``counts(key, n)``: none is off by ``percent_off`` or more."""
+    joined = expected.select(key, F.col("n").alias("e")).join(counts.select(key, F.col("n").alias("a")), key, "full")
+    e, a = F.coalesce("e", F.lit(0)), F.coalesce("a", F.lit(0))
+    off = F.when(e > 0, F.abs(a - e) * 100.0 / e).otherwise(F.when(a > 0, 100.0).otherwise(0.0))
+    n = joined.agg(F.coalesce(F.max(off), F.lit(0.0)).alias("worst"))
+    return check(name, n, F.col("worst") < percent_off, F.concat(F.format_number("worst", 1), F.lit(" % off at most")))
+
+
+def worst_years(coverage_rows: DataFrame, most: int | None = None) -> DataFrame:
+    """[ORD-06] Years (without the total) from the least coverage up."""
+    out = coverage_rows.filter("year is not null").orderBy("coverage", "year")
+    return out.limit(most) if most else out
 
 
 def few_blank(name: str, table: DataFrame, column: str, most: float = 10.0) -> DataFrame:

@@ -154,6 +154,36 @@ def best(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("record_id").agg(top.alias("b")).select("record_id", "b.*")
 
 
+def search_journal(works: DataFrame, journal: str, years: tuple[int, int] | None = None, page: str | None = None) -> DataFrame:
+    """[SRC-11] The work of a journal that a search gives: within a range of years, one whose pages
+    hold the page asked for before the others, then the least id; at most one row."""
+    w = work_fields(works).filter(F.lower(strip(text("journal"))) == journal.strip().lower())
+    if years:
+        w = w.filter(F.col("year").try_cast("int").between(*years))
+    holds = F.contains(text("pages"), F.lit(page)) if page else F.lit(False)
+    return w.orderBy(F.desc(holds), "work_id").limit(1)
+
+
+def search_title(works: DataFrame, title: str, author: str | None = None, year: int | None = None, limit: int = 5) -> DataFrame:
+    """[SRC-12] The works whose titles are the most like one, best first, of an author or year if given."""
+    w = work_fields(works).withColumn("likeness", title_similarity(F.lit(title), "title")).filter("likeness > 0")
+    if author:
+        w = w.filter(F.contains(F.lower("authors"), F.lit(author.lower())))
+    if year:
+        w = w.filter(F.col("year") == str(year))
+    return w.orderBy(F.desc("likeness"), "work_id").limit(limit)
+
+
+def with_and_without(records: DataFrame, works: DataFrame, kept) -> DataFrame:
+    """[PIPE-22] ``setting, kept, with_doi``: what a filter keeps with and without recovered DOIs."""
+    sides = {"without_recovery": records, "with_recovery": recover_dois(records, works)}
+    rows = [
+        kept(df).agg(F.count("*").alias("kept"), F.count(F.when(~blank("doi"), 1)).alias("with_doi")).select(F.lit(n).alias("setting"), "kept", "with_doi")
+        for n, df in sides.items()
+    ]
+    return rows[0].unionByName(rows[1])
+
+
 def cascade(records: DataFrame, works: DataFrame, thresholds: dict[str, float] | None = None) -> DataFrame:
     """[PIPE-13] ``record_id, work_id, method, confidence``: the best match of the first phase
     that has one above its threshold; later phases leave out what is matched."""
@@ -167,9 +197,9 @@ def cascade(records: DataFrame, works: DataFrame, thresholds: dict[str, float] |
     return done
 
 
-def recover_dois(records: DataFrame, works: DataFrame) -> DataFrame:
+def recover_dois(records: DataFrame, works: DataFrame, thresholds: dict[str, float] | None = None) -> DataFrame:
     """[PIPE-14, SNK-05] Records with missing DOIs filled from works that carry one."""
-    found = cascade(records, works).join(works.select("work_id", "doi"), "work_id").filter(~blank("doi")).select("record_id", "doi")
+    found = cascade(records, works, thresholds).join(works.select("work_id", "doi"), "work_id").filter(~blank("doi")).select("record_id", "doi")
     return update_by_key(records.withColumn("doi", F.when(~blank("doi"), F.col("doi"))), found, "record_id", ["doi"])
 
 

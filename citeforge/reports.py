@@ -9,7 +9,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeforge.operators.quality import breakdown, clean_key, excluded, friendly, grade
+from citeforge.functions.text import blank
+from citeforge.operators.coverage import recovery_potential, recovery_way
+from citeforge.operators.quality import breakdown, clean_key, excluded, friendly, grade, plausible_year
 
 
 def rows(df: DataFrame) -> list[dict]:
@@ -80,6 +82,36 @@ def enrichment_summary(metrics: dict[str, DataFrame], path: str, fmt: str = "jso
         raise ValueError("format must be json or txt")
 
 
+def missing_doi_report(records: DataFrame, folder: str) -> dict:
+    """[PIPE-20] Records without DOI: all of them as CSV with the way in which one could be found,
+    and a summary by way and year as JSON and text."""
+    missing = records.filter(blank("doi"))
+    write_csv(missing.select("record_id", "title", "source_title", "pub_year", "volume", "page_start", recovery_way(records).alias("way")), f"{folder}/missing_doi")
+    data = {
+        "ways": rows(recovery_potential(records).orderBy("way")),
+        "years": rows(missing.groupBy(plausible_year("pub_year").alias("year")).agg(F.count("*").alias("records")).orderBy("year")),
+    }
+    write_json(f"{folder}/missing_doi.json", data)
+    Path(f"{folder}/missing_doi.txt").write_text("\n".join(text_table(n, d) for n, d in data.items()), encoding="utf-8")
+    return data
+
+
+def citing_patents_report(flat: DataFrame, confirmed: DataFrame, path: str, doi: str) -> dict:
+    """[SNK-18] What is known of the patents that cite one document, as JSON."""
+    cited = flat.filter(F.lower("target_doi") == doi.lower()).join(confirmed, "rec_id")
+    data = {
+        "doi": doi, "patents": rows(cited.drop("rec_id", "target_doi").orderBy("lens_id")),
+        "confirmed": cited.filter("citation_confirmed").count(),
+    }
+    write_json(path, data | {"total": len(data["patents"])})
+    return data
+
+
+def first_rows(log: DataFrame, order: str, most: int = 50) -> list[dict]:
+    """[ORD-07] The first rows of a log, as reports show them."""
+    return rows(log.orderBy(order).limit(most))
+
+
 def short_list(names: list[str], most: int = 3) -> str:
     """[SUP-02] The first names and how many more there are."""
     return ", ".join(names[:most]) + (f" ... and {len(names) - most} more" if len(names) > most else "")
