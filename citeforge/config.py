@@ -36,14 +36,25 @@ def merged(base: dict, over: dict) -> dict:
     return out
 
 
+def env_file(path: str) -> dict[str, str]:
+    """[SRC-21] ``NAME=value`` lines of a file; comments, quotes and ``export`` are put aside."""
+    out = {}
+    if Path(path).exists():
+        for line in Path(path).read_text(encoding="utf-8").splitlines():
+            name, sep, value = line.strip().removeprefix("export ").partition("=")
+            if sep and name.strip() and not name.startswith("#"):
+                out[name.strip()] = value.strip().strip("'\"")
+    return out
+
+
 def load(path: str | None = None, environ: dict[str, str] | None = None) -> dict:
-    """Environment over file over defaults."""
+    """Environment over a ``.env`` file of the working folder over the settings' file over defaults."""
     conf = DEFAULTS
     if path and Path(path).exists():
         conf = merged(conf, json.loads(Path(path).read_text(encoding="utf-8")))
     conf = deepcopy(conf)
     for name, (section, key) in ENVIRONMENT.items():
-        value = (os.environ if environ is None else environ).get(name)
+        value = (env_file(".env") | dict(os.environ) if environ is None else environ).get(name)
         if value:
             conf[section][key] = value
     validate(conf)

@@ -34,9 +34,11 @@ CATEGORY_IMPACTS = {
 }
 
 
-def missing_reason(strict: bool = False, enabled: bool = True) -> Column:
-    """[FLT-01..03] The reason of the first blank required field, null if all are given."""
+def missing_reason(strict: bool = False, enabled: bool = True, wanted: list[str] | None = None) -> Column:
+    """[FLT-01..03] The reason of the first blank required field, null if all are given. Of the
+    required fields only those in ``wanted`` are tested, if it is given."""
     fields = (REQUIRED_STRICT if strict else REQUIRED) if enabled else []
+    fields = fields if wanted is None else [f for f in fields if f in wanted]
     reasons = [
         F.when(blank(COLUMN_OF.get(f, f)), F.lit(f"MISSING_{f.upper()}: No {f.replace('_', ' ')} provided")) for f in fields
     ]
@@ -54,9 +56,9 @@ def clean_key(name: str) -> str:
     return re.sub(r"[ -]", "_", re.sub(r"[()]", "", name.lower()))
 
 
-def flagged(df: DataFrame, strict: bool = False, enabled: bool = True) -> DataFrame:
+def flagged(df: DataFrame, strict: bool = False, enabled: bool = True, wanted: list[str] | None = None) -> DataFrame:
     """``df`` with ``reason`` and ``category``: one pass that both outputs are taken from."""
-    with_reason = df.withColumn("reason", missing_reason(strict, enabled))
+    with_reason = df.withColumn("reason", missing_reason(strict, enabled, wanted))
     return with_reason.withColumn("category", category("reason"))
 
 

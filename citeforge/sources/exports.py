@@ -4,13 +4,15 @@
 from __future__ import annotations
 
 import re
-from functools import reduce
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from citeforge.columns import bind
+from citeforge.sources.rejects import WELL_FORMED
 
 SKIPPED = re.compile(r"^[~.]|exclusion|_backup\.csv$", re.I)
 
@@ -23,27 +25,58 @@ def discover(folder: str) -> list[str]:
     return sorted(str(p) for p in base.glob("*.csv") if not SKIPPED.search(p.name))
 
 
+#: The column of a scan that holds the raw record where it does not fit the file's header.
+BROKEN = "broken_record"
+
+
 def scan(spark: SparkSession, path: str) -> DataFrame:
     """[SRC-01] One export with its own header, every value a string, quoted line breaks kept,
-    a byte order mark ignored; ``src_file`` and ``src_ord`` give each row's origin."""
-    df = spark.read.options(header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8", mode="PERMISSIVE").csv(path)
+    a byte order mark ignored; ``src_file`` and ``src_ord`` give each row's origin. A record that
+    has not the header's number of fields is kept whole in ``BROKEN``, to be set aside (``rejects``).
+
+    A record may hold line breaks, so one file is one task: exports are many files of bounded size."""
+    options = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "encoding": "UTF-8", "mode": "PERMISSIVE"}
+    header = spark.read.options(**options).csv(path).columns
+    fields = StructType([StructField(c, StringType()) for c in [*header, BROKEN]])
+    df = spark.read.options(**options, columnNameOfCorruptRecord=BROKEN).schema(fields).csv(path)
     return df.select(
-        F.lit(Path(path).name).alias("src_file"), F.monotonically_increasing_id().alias("src_ord"), *[F.col(f"`{c}`") for c in df.columns]
+        F.lit(Path(path).name).alias("src_file"), F.monotonically_increasing_id().alias("src_ord"), BROKEN, *[F.col(f"`{c}`") for c in header]
+    )
+
+
+def rejects(scanned: DataFrame) -> DataFrame:
+    """``src_file, src_ord, reason, raw_line`` of the records that do not load: ``quoting`` if they are
+    no well-formed record, else ``columns``."""
+    formed = F.col(BROKEN).rlike(WELL_FORMED)
+    return scanned.filter(F.col(BROKEN).isNotNull()).select(
+        "src_file", "src_ord", F.when(formed, "columns").otherwise("quoting").alias("reason"), F.col(BROKEN).alias("raw_line")
     )
 
 
-def scan_all(spark: SparkSession, paths: list[str], bound: bool = True) -> DataFrame:
+def scan_all(spark: SparkSession, paths: list[str], bound: bool = True, failed: dict[str, str] | None = None) -> DataFrame:
     """[SRC-02, SET-01] Many exports by column name, whatever their column order; ``file_ord``
     is a file's place in the list. Files are bound to the engine's columns one by one, as the
-    same field may have another header in each."""
+    same field may have another header in each. A file that cannot be read is left out and its
+    error put into ``failed``; without ``failed`` it stops the scan."""
     parts = []
     for k, p in enumerate(paths):
-        df = scan(spark, p)
-        df = bind(df, keep=("src_file", "src_ord")) if bound else df
+        try:
+            df = scan(spark, p)
+            df = bind(df, keep=("src_file", "src_ord", BROKEN)) if bound else df
+        except (AnalysisException, ValueError) as e:
+            if failed is None:
+                raise
+            failed[p] = str(e).splitlines()[0]
+            continue
         parts.append(df.withColumn("file_ord", F.lit(k)))
     if not parts:
         raise ValueError("no files to scan")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    # Pairwise, so that the plan is as deep as the logarithm of the number of files.
+    while len(parts) > 1:
+        parts = [
+            parts[i].unionByName(parts[i + 1], allowMissingColumns=True) if i + 1 < len(parts) else parts[i] for i in range(0, len(parts), 2)
+        ]
+    return parts[0]
 
 
 def record_counts(df: DataFrame) -> DataFrame:

@@ -37,6 +37,10 @@ class Store:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self._place(name))
 
+    def drop(self, name: str) -> None:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(self._place(name))
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+
     def replace(self, name: str, df: DataFrame) -> DataFrame:
         """Overwrite a table with a frame that may read it: written aside, then moved."""
         aside = f"{self._place(name)}.new"
