@@ -29,6 +29,7 @@ import itertools
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -154,8 +155,9 @@ def parse_org(text: str) -> list[str]:
 _KIND_WORDS = sorted((k for k in KINDS if len(k) > 5), key=len, reverse=True)
 
 
+@lru_cache(maxsize=100_000)
 def _near_kind(word: str) -> str | None:
-    """The kind a word is a typing error of."""
+    """The kind a word is a typing error of; kept per worker, as the same words come again and again."""
     if len(word) < 6:
         return None
     return next((KINDS[k] for k in _KIND_WORDS if distance(word, k, reach(len(k))) <= reach(len(k))), None)
