@@ -219,6 +219,28 @@ def pattern(x: dict, y: dict) -> tuple[int, float]:
     return code, dice
 
 
+def settled(x: dict, y: dict) -> dict:
+    """``y`` without a volume or year that is the only thing to speak against the pair: the sources
+    often give another one. What outweighs it is the same first page by the same authors (or, where
+    one side names none, in the same journal), or, where a page is missing, the same authors, year
+    and journal."""
+    p, q = set(x["families"].split()), set(y["families"].split())
+    people = bool(p and q) and 2 * len(p & q) >= 1.2 * min(len(p), len(q))
+    journal = bool(x["journal"]) and x["journal"] == y["journal"]
+    paged = x["page"] is not None and y["page"] is not None
+    years = x["year"] is not None and y["year"] is not None
+    volumes = x["volume"] is not None and y["volume"] is not None
+    volume_other = volumes and x["volume"] != y["volume"]
+    if paged and x["page"] == y["page"] and (people or (journal and not (p and q))):
+        if volume_other and (not years or abs(x["year"] - y["year"]) <= 1):
+            return y | {"volume": None}
+        if volumes and not volume_other and years and x["year"] != y["year"]:
+            return y | {"year": None}
+    if volume_other and not paged and people and journal and years and x["year"] == y["year"]:
+        return y | {"volume": None}
+    return y
+
+
 def fit(counts: dict[int, int], rounds: int = 60) -> dict[int, float]:
     """Posterior match probability of every pattern, by expectation-maximisation."""
     codes = np.array(sorted(counts), np.int64)
@@ -267,7 +289,7 @@ def scored(records: DataFrame, works: DataFrame) -> DataFrame:
                 y |= {"doi": None, "eid": None, "source": y["journal"] or 0}
                 codes.append(code)
                 dices.append(dice)
-                same.append(near and same_publication(x, y))
+                same.append(near and same_publication(x, settled(x, y)))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:2], pa.array(codes, pa.int32()), pa.array(dices, pa.float64()), pa.array(same, pa.bool_())],
                 names=["record_id", "work_id", "pattern", "title_dice", "same"],

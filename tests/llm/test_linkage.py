@@ -87,3 +87,37 @@ def test_hot_keys_lose_no_pair(spark, monkeypatch):
     monkeypatch.setattr(li, "BLOCK", 7)
     rows = li.candidates(left, right).collect()
     assert {tuple(r) for r in rows} == whole and len(rows) == len(whole)
+
+
+def test_one_other_number_does_not_separate():
+    x = {"page": 12, "volume": 3, "year": 2020, "families": "doe poe roe", "journal": "jx"}
+    other = x | {"volume": 30, "families": "doe roe"}
+    for y in (other, other | {"year": 2021}, other | {"families": ""}, other | {"page": None}):
+        assert li.settled(x, y)["volume"] is None
+    assert li.settled(x, x | {"year": 2010})["year"] is None
+    for y in (other | {"page": 13}, other | {"families": "wang"}, other | {"year": 2015}, other | {"page": None, "year": 2021}, other | {"families": "", "journal": "jy"}, x):
+        assert li.settled(x, y) == y
+
+
+def test_confidences_on_planted_pairs(spark):
+    """Reliability: of pairs by tenths of confidence, the share of true ones is near the mean confidence."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("bdfglmnrst") + rng.choice("aeiou") for _ in range(3))
+    recs, works = [], []
+    for i in range(400):
+        title = " ".join(word() for _ in range(9))
+        author, page, volume, year = word(), rng.randint(1, 900), rng.randint(1, 40), rng.randint(2010, 2022)
+        recs.append((i, title, f"{author.title()}, A.; Roe, B.", str(year), f"Journal of {word()}", str(volume), str(page), None))
+        if i % 2:
+            kept = lambda v, other: None if rng.random() < 0.15 else v if rng.random() < 0.9 else other
+            typed = title.replace(title.split()[2], title.split()[2][::-1]) if rng.random() < 0.3 else title
+            works.append((i, None, [typed], [(author.title(), "A"), ("Roe", "B")], ([[year]],), kept(str(volume), "77"), kept(str(page), "901"), [recs[-1][4]]))
+        else:
+            works.append((i, None, [" ".join(word() for _ in range(9))], [(author.title(), "A")], ([[year]],), str(volume), "950", [recs[-1][4]]))
+    rows = li.scored(spark.createDataFrame(recs, REC), spark.createDataFrame(works, WORK)).collect()
+    pairs = [(r["confidence"], r["record_id"] == r["work_id"] and r["work_id"] % 2 == 1) for r in rows]
+    assert sum(t for _, t in pairs) >= 0.97 * 200
+    for low, high in ((0.0, 0.1), (0.9, 1.01)):
+        inside = [(c, t) for c, t in pairs if low <= c < high]
+        assert len(inside) > 100
+        assert abs(sum(t for _, t in inside) / len(inside) - sum(c for c, _ in inside) / len(inside)) < 0.05
