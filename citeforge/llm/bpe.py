@@ -206,6 +206,21 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
+def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path: str | None = None) -> DataFrame:
+    """``id_col, text``: the texts of token ids, by emitting the label of every arc. The empty list gives
+    the empty text, a null list null; bytes that are no text come out as replacement characters."""
+    schema = T.StructType([encoded.schema[id_col], T.StructField("text", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        a = automaton(path)
+        for batch in batches:
+            for part in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
+                texts = [None if ids is None else a.decode(ids) for ids in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], names=[id_col, "text"])
+
+    return encoded.select(id_col, ids_col).mapInArrow(run, schema)
+
+
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), path: str | None = None) -> DataFrame:
     """``id_col, keep..., n_tokens``: only the number of tokens of every text."""
     names = [id_col, *keep]

@@ -52,6 +52,16 @@ def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode(_table(spark, folder, "documents"))
 
 
+def p7_decoded(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text encoded and decoded again."""
+    return bpe.decode(p7_ids(spark, folder))
+
+
+def p8_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that stand in some container, once each."""
+    return p8_containers(spark, folder).select("doc_id").distinct()
+
+
 def p8_containers(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_table(spark, folder, "documents"))
 
@@ -69,7 +79,12 @@ QUERIES = {
     "p6_found": p6_found,
     "p6_matches": p6_matches,
     "p7_ids": p7_ids,
+    "p7_decoded": p7_decoded,
+    "p8_documents": p8_documents,
     "p8_containers": p8_containers,
     "p9_found": p9_found,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "p7_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
+    "p8_documents": "SELECT doc_id FROM documents",
+}

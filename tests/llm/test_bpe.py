@@ -22,6 +22,15 @@ def public():
     return lambda x: t.encode(x, add_special_tokens=False).ids
 
 
+def test_decoded_frames(spark):
+    texts = ["", None, "naïve “Größe” 河水\t\n  two", "x" * 5000, "\U0001f600 \x00"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    back = {r["doc_id"]: r["text"] for r in bpe.decode(bpe.encode(docs)).collect()}
+    assert back == {i: t or "" for i, t in enumerate(texts)}
+    nulls = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
+    assert {tuple(r) for r in bpe.decode(nulls).collect()} == {(1, None), (2, "")}
+
+
 def test_equals_public_encoder(automaton, public):
     rng = random.Random(1)
     for _ in range(3000):
