@@ -405,6 +405,12 @@ SQL = {
       SELECT v.rec_id, doi, CAST(v.parent_no AS INTEGER) AS citation_no, sequence FROM v JOIN (SELECT DISTINCT doi FROM scopus_records WHERE doi <> '') d ON lower(value) = lower(doi)
       JOIN c ON c.rec_id = v.rec_id AND c.child_no = v.parent_no""",
     "clean_names": f"SELECT name_id, {_PERSON_SQL('name_text')} AS person, {_INSTITUTION_SQL('name_text')} AS institution FROM party_names",
+    "name_variants": f"""WITH p AS (SELECT name_id, person, {_WORDS('person')} AS p FROM (SELECT name_id, {_PERSON_SQL('name_text')} AS person FROM party_names WHERE name_kind = 'person')),
+      w AS (SELECT *, p[1] AS g, p[-1] AS f, substr(p[1], 1, 1) AS i, array_to_string(list_transform(p[1:greatest(len(p) - 1, 1)], lambda x: substr(x, 1, 1)), '') AS h FROM p),
+      l AS (SELECT *, list_filter([person, g || ' ' || f, f || ' ' || g, f || ', ' || g, i || ' ' || f, i || '. ' || f, f || ' ' || i, f || ', ' || i, f || ', ' || i || '.',
+        CASE WHEN len(p) > 2 THEN h || ' ' || f END, CASE WHEN len(p) > 2 THEN f || ' ' || h END], lambda v: v IS NOT NULL) AS l FROM w),
+      d AS (SELECT *, list_filter(list_filter(l, lambda v, k: list_position(l, v) = k), lambda v: length(v) >= 3 AND contains(v, ' ')) AS u FROM l)
+      SELECT name_id, unnest(CASE WHEN len(p) < 1 THEN [] WHEN len(p) < 2 THEN [person] ELSE u[1:5] END) AS variant FROM d""",
     "match_by_title": _MATCH_TITLE,
     "patent_summary": f"WITH {_FLAT}, u AS (SELECT * FROM flat QUALIFY row_number() OVER (PARTITION BY lens_id ORDER BY rec_id) = 1) SELECT 'jurisdiction' AS dimension, jurisdiction AS value, count(*) AS patents FROM u GROUP BY 2 UNION ALL SELECT 'legal_status', legal_status, count(*) FROM u GROUP BY 2",
     "patent_filing_range": f"WITH {_FLAT} SELECT min(filing_date) AS first_filing, max(filing_date) AS last_filing FROM flat WHERE filing_date <> 'N/A'",
