@@ -363,7 +363,12 @@ class History:
     appends the batch. Stored are the points, the comparable fields, the ranks of words, the
     counts of identifiers, and of every duplicate the record it follows."""
 
-    TABLES = ("points", "fields", "words", "ids", "roots")
+    #: The stored tables; their schemas are fixed, as a batch may have no row for one of them.
+    TABLES = {
+        "points": "record_id long, pivots long, page long, volume long, year long, anchor long, by_id boolean, slot int, seq int",
+        "fields": f"{_READ_DDL}, seq int", "words": "word string, rank long, seq int",
+        "ids": "id string, title string, near long, far long, seq int", "roots": "node long, root long, seq int",
+    }
 
     def __init__(self, spark, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -379,7 +384,7 @@ class History:
 
     def _table(self, name: str) -> DataFrame | None:
         paths = [f"{self.path}/{name}/seq={n}" for n in self.batches()]
-        return self.spark.read.option("basePath", f"{self.path}/{name}").parquet(*paths) if paths else None
+        return self.spark.read.schema(self.TABLES[name]).option("basePath", f"{self.path}/{name}").parquet(*paths) if paths else None
 
     def _write(self, df: DataFrame, name: str, seq: int, *parts: str) -> DataFrame:
         path = f"{self.path}/{name}/seq={seq}"

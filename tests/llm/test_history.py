@@ -149,6 +149,17 @@ def test_an_interrupted_batch_leaves_nothing(spark, tmp_path, monkeypatch):
     assert [tuple(x) for x in got] == [(2, 1)]
 
 
+def test_empty_batches_and_a_single_one(spark, tmp_path):
+    rows = [row(1), row(2, TITLE.upper())]
+    past = h.History(spark, f"file://{tmp_path}/h")
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert past.accept(df.limit(0)).count() == 0 and past.members().count() == 0
+    assert {tuple(r) for r in past.accept(df).collect()} == {(1, None), (2, 1)}
+    assert past.accept(df.limit(0)).count() == 0 and [tuple(r) for r in past.members().collect()] == [(2, 1)]
+    assert [tuple(r) for r in h.found(df.selectExpr("*", "7 as batch_no")).collect()] == [(1, 2)]
+    assert [tuple(r) for r in h.found(df.selectExpr("*", "if(record_id = 1, null, 3) as batch_no")).collect()] == [(1, 2)]
+
+
 def test_batch_by_batch_as_the_whole(spark, small, tmp_path):
     """Recall of the incremental path: what three batches find is what the whole table gives."""
     records = spark.read.parquet(f"{small}/scopus_records.parquet")
