@@ -68,7 +68,7 @@ NICKNAMES = {
     "sue": "susan", "susie": "susan", "sveta": "svetlana", "terry": "theresa", "tess": "theresa", "theo": "theodore", "tom": "thomas",
     "tony": "anthony", "val": "valentina", "vicky": "victoria", "vince": "vincent", "vova": "vladimir", "wally": "walter",
     "walt": "walter", "will": "william", "zach": "zachary", "zack": "zachary", "zosia": "zofia", "wika": "wiktoria", "ollie": "oliver",
-    "lucy": "lucia lucja", "ola": "olga", "umb": "umberto", "steve": "steven stephen", "tim": "timothy", "drew": "andrew",
+    "lucy": "lucia lucja", "ola": "olga", "steve": "steven stephen", "tim": "timothy", "drew": "andrew",
 }
 #: A token is read as a neighbour, one or two edits away, that is this many times as frequent.
 LEAD = (8, 20)
