@@ -72,8 +72,8 @@ def institution_ranking(pubs: DataFrame, links: DataFrame, limit: int | None = N
     return group_ranking(pubs, links, F.substring(text("affiliations"), 1, 100), 5, 2, limit)
 
 
-def subject_ranking(pubs: DataFrame, links: DataFrame, limit: int | None = None) -> DataFrame:
-    return group_ranking(pubs, links, F.substring(text("author_keywords"), 1, 50), 3, 0, limit)
+def subject_ranking(pubs: DataFrame, links: DataFrame, limit: int | None = None, least_pubs: int = 3) -> DataFrame:
+    return group_ranking(pubs, links, F.substring(text("author_keywords"), 1, 50), least_pubs, 0, limit)
 
 
 def collaboration_groups(pubs: DataFrame, links: DataFrame) -> DataFrame:

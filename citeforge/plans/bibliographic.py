@@ -254,7 +254,7 @@ QUERIES = {
     "lag_histogram": lambda s, d: analytics.lag_histogram(_pubs(s, d), _links(s, d), _patent_rows(s, d)),
     "mean_time_to_patent": lambda s, d: analytics.mean_time_to_patent(_pubs(s, d), _links(s, d), _patent_rows(s, d)),
     "institution_ranking": lambda s, d: analytics.institution_ranking(_pubs(s, d), _links(s, d)),
-    "subject_ranking": lambda s, d: analytics.subject_ranking(_pubs(s, d), _links(s, d)),
+    "subject_ranking": lambda s, d: analytics.subject_ranking(_pubs(s, d), _links(s, d), least_pubs=2),
     "collaboration_groups": lambda s, d: analytics.collaboration_groups(_pubs(s, d), _links(s, d)),
     "author_profile": lambda s, d: analytics.author_profile(_pubs(s, d), _links(s, d), "Laxarholt"),
     "author_patents": lambda s, d: analytics.author_patents(_pubs(s, d), _links(s, d), _patent_rows(s, d), "Laxarholt"),
@@ -430,7 +430,7 @@ SQL = {
     "lag_histogram": f"{_INNO}, {_LAGS} SELECT lag, count(*) AS links FROM lags WHERE lag BETWEEN 0 AND 10 GROUP BY 1",
     "mean_time_to_patent": f"{_INNO}, {_LAGS} SELECT avg(lag) AS mean_lag, count(*) AS links FROM lags WHERE lag >= 0",
     "institution_ranking": _ranking_sql(f"substr({_TXT('affiliations')}, 1, 100)", 5, 2),
-    "subject_ranking": _ranking_sql(f"substr({_TXT('author_keywords')}, 1, 50)", 3, 0),
+    "subject_ranking": _ranking_sql(f"substr({_TXT('author_keywords')}, 1, 50)", 2, 0),
     "collaboration_groups": f"{_INNO} SELECT team, count(DISTINCT lens_id) AS patents, count(DISTINCT pub_id) AS publications, CAST(len({_LIST('team')}) AS INTEGER) AS team_size FROM (SELECT pub_id, {_TXT('authors')} AS team FROM pubs) JOIN links USING (pub_id) GROUP BY team HAVING patents >= 2 AND team_size > 1",
     "author_profile": f"{_INNO}, own AS (SELECT pub_id FROM pubs WHERE contains(lower({_TXT('authors')}), 'laxarholt')), l AS (SELECT * FROM links WHERE pub_id IN (SELECT pub_id FROM own)) SELECT (SELECT count(*) FROM own) AS publications, count(DISTINCT pub_id) AS with_patents, count(DISTINCT lens_id) AS patents, count(*) FILTER (confidence >= 0.8) AS strong_links, round_even(avg(confidence), 3) AS mean_confidence FROM l",
     "author_patents": f"{_INNO} SELECT DISTINCT lens_id, pr.title, publication_date, jurisdiction, pubs.title AS pub_title, year, confidence FROM links JOIN pubs USING (pub_id) JOIN pr USING (lens_id) WHERE contains(lower({_TXT('authors')}), 'laxarholt')",
