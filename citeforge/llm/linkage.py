@@ -1,7 +1,7 @@
 """Matching records of two sources that share no identifier (problem 6).
 
 Attributes are encoded as fixed bit vectors. The q-grams (q = 2) of a title set bits of a
-1,024-bit vector; page, volume, year, first author and journal each give a code of their own
+1,024-bit vector, those of the authors' family names and of the journal bits of 256-bit vectors; page, volume, year, first author and journal each give a code of their own
 segment (a journal's is made of the initials of its words, which abbreviation keeps).
 
 Close pairs are found by multi-index hashing, exactly for the radii used: title vectors are
@@ -14,8 +14,9 @@ block of one side meets every block of the other: no task makes all its pairs, n
 Titles under ``SHORT`` characters name no single work: the exact comparison takes them only
 with equal page and volume and the same authors or journal, so their segments find all of them.
 
-Every candidate pair gets the Dice coefficients of its vectors, field by field. The fields'
-levels make a bounded number of patterns; over the counts of the patterns of all pairs an
+Every candidate pair gets the Dice coefficients of its vectors, field by field (titles cut short and
+author lists cut short by what they contain, abbreviated journals by their initials as well). The fields'
+levels of Dice make a bounded number of patterns; over the counts of the patterns of all pairs an
 expectation-maximisation fit (Fellegi-Sunter) gives each level its weight, and the posterior
 of a pattern is the confidence of its pairs: calibrated, as its mean over the pairs is the
 share of matches. An exact comparison of titles, notices, parts, pages and volumes follows.
@@ -43,10 +44,14 @@ from citeforge.llm.records import number, plain, titles_near
 from citeforge.session import cut
 
 BITS, CHUNKS = 1024, 8
+#: Bits of the vectors of family names and journals.
+SMALL = 256
 SHORT = 30
 #: Rows of one key and side that one task handles.
 BLOCK = 1000
 THRESHOLD = 0.5
+#: Pairs of either kind that the levels' weights are begun from.
+PSEUDO = 5
 SEGMENTS = ["page", "volume", "year", "first", "journal"]
 _TRIPLES = [t for t in itertools.combinations(SEGMENTS, 3) if t != ("volume", "year", "journal")]
 _SMALL = {"in", "and", "of", "the", "for", "on", "a", "iin", "annd", "adn", "ofo", "fo"}
@@ -54,11 +59,11 @@ _SMALL = {"in", "and", "of", "the", "for", "on", "a", "iin", "annd", "adn", "ofo
 _BIT = (np.arange(65536, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % BITS
 
 
-def bits(text: str) -> bytes:
+def bits(text: str, size: int = BITS) -> bytes:
     """The bit vector of a text's q-grams."""
-    out = np.zeros(BITS, np.uint8)
+    out = np.zeros(size, np.uint8)
     raw = np.frombuffer(f" {text} ".encode(), np.uint8).astype(np.int64)
-    out[_BIT[raw[:-1] * 256 + raw[1:]]] = 1
+    out[_BIT[raw[:-1] * 256 + raw[1:]] % size] = 1
     return np.packbits(out).tobytes()
 
 
@@ -76,16 +81,16 @@ _SCHEMA = pa.schema(
     [
         ("id", pa.int64()), ("title", pa.string()), ("page", pa.int64()), ("volume", pa.int64()), ("year", pa.int64()),
         ("first", pa.string()), ("families", pa.string()), ("journal", pa.string()), ("vector", pa.binary()), ("keys", pa.list_(pa.int64())),
-        ("weights", pa.int64()), ("chunked", pa.bool_()),
+        ("weights", pa.int64()), ("chunked", pa.bool_()), ("people", pa.binary()), ("venue", pa.binary()),
     ]
 )
 _DDL = (
     "id long, title string, page long, volume long, year long, first string, families string, journal string, vector binary, keys array<long>, "
-    "weights long, chunked boolean"
+    "weights long, chunked boolean, people binary, venue binary"
 )
 
 
-def _encoded(rid, title, page, volume, year, first, families, journal):
+def _encoded(rid, title, page, volume, year, first, families, venue):
     vector = bits(title)
     keys, weights = [], 0
     chunked = len(title) >= SHORT
@@ -95,12 +100,13 @@ def _encoded(rid, title, page, volume, year, first, families, journal):
             part = vector[i * step : (i + 1) * step]
             keys.append(xxhash.xxh3_64_intdigest(part, seed=i) - (1 << 63))
             weights = weights << 6 | min(int.from_bytes(part).bit_count(), 63)
+    journal = journal_code(venue)
     have = {"page": page, "volume": volume, "year": year, "first": first or None, "journal": journal or None}
     for at, triple in enumerate(_TRIPLES):
         x, y, z = (have[s] for s in triple)
         if x is not None and y is not None and z is not None:
             keys.append(xxhash.xxh3_64_intdigest(f"{x}|{y}|{z}", seed=100 + at) - (1 << 63))
-    return rid, title, page, volume, year, first, families, journal, vector, keys, weights, chunked
+    return rid, title, page, volume, year, first, families, journal, vector, keys, weights, chunked, bits(families, SMALL), bits(venue, SMALL)
 
 
 def _batches(batches: Iterator[pa.RecordBatch], make):
@@ -114,7 +120,7 @@ def _record(rid, title, authors, year, source, volume, page, art):
     first = number(page)
     return _encoded(
         rid, plain(title), first if first is not None else number(art), number(volume), number(year), first_family(authors),
-        family_names(authors), journal_code(plain(source)),
+        family_names(authors), plain(source),
     )
 
 
@@ -123,7 +129,7 @@ def _work(wid, titles, authors, published, volume, page, containers):
     head = next(iter(authors or []), None)
     return _encoded(
         wid, plain(next(iter(titles or []), None)), number(page), number(volume), parts[0], families_of([head] if head else []),
-        families_of(authors), journal_code(plain(next(iter(containers or []), None))),
+        families_of(authors), plain(next(iter(containers or []), None)),
     )
 
 
@@ -188,7 +194,7 @@ def candidates(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 #: Levels of each field in a pattern.
-_LEVELS = [4, 3, 3, 3, 3, 3]
+_LEVELS = [4, 3, 3, 3, 4, 4]
 
 
 def _dice(x: bytes, y: bytes) -> tuple[float, float]:
@@ -208,11 +214,17 @@ def pattern(x: dict, y: dict) -> tuple[int, float]:
     # A title cut short is contained in the whole one.
     levels = [0 if not (x["title"] and y["title"]) else 3 if dice >= 0.9 else 2 if dice >= 0.7 or part >= 0.9 else 1]
     levels += [_level(x[f], y[f]) for f in ("page", "volume", "year")]
-    fams = _level(x["families"], y["families"])
-    if fams == 1:
+    fams = venue = 0
+    if x["families"] and y["families"]:
         p, q = set(x["families"].split()), set(y["families"].split())
-        fams = 2 if 2 * len(p & q) >= 1.2 * min(len(p), len(q)) else 1
-    levels += [fams, _level(x["journal"], y["journal"])]
+        whole = _dice(x["people"], y["people"])[0]
+        fams = 3 if whole >= 0.9 else 2 if whole >= 0.7 or 2 * len(p & q) >= 1.2 * min(len(p), len(q)) else 1
+    if x["journal"] and y["journal"]:
+        whole = _dice(x["venue"], y["venue"])[0]
+        # Journals differ by a word in many, so only nearly equal vectors stand for equal initials.
+        code = x["journal"] == y["journal"]
+        venue = 3 if whole >= 0.9 and code else 2 if whole >= 0.95 or code else 1
+    levels += [fams, venue]
     code = 0
     for level, n in zip(levels, _LEVELS, strict=True):
         code = code * n + level
@@ -251,17 +263,20 @@ def fit(counts: dict[int, int], rounds: int = 60) -> dict[int, float]:
         rest //= k
     levels = levels[::-1]
     # Start: a pair is a match if its title is alike and most other known fields agree.
-    agree = sum((lv == 2).astype(float) for lv in levels[1:]) / np.maximum(1, sum((lv > 0).astype(float) for lv in levels[1:]))
+    agree = sum((lv >= 2).astype(float) for lv in levels[1:]) / np.maximum(1, sum((lv > 0).astype(float) for lv in levels[1:]))
     post = np.clip(0.98 * (levels[0] >= 2) * (agree > 0.5), 0.01, 0.98)
     for _ in range(rounds):
         p = float((n * post).sum() / n.sum())
         weights = np.full(len(codes), np.log(max(p, 1e-9) / max(1 - p, 1e-9)))
         for lv, k in zip(levels, _LEVELS, strict=True):
-            m = np.array([(n * post)[lv == v].sum() + 0.5 for v in range(k)])
-            u = np.array([(n * (1 - post))[lv == v].sum() + 0.5 for v in range(k)])
+            # Few pairs hardly move the weights from what agreement and disagreement usually mean.
+            usual = np.array([0.0, 0.1] + [0.9 / (k - 2)] * (k - 2)) * PSEUDO
+            rare = np.array([0.0, 0.9] + [0.1 / (k - 2)] * (k - 2)) * PSEUDO
+            m = np.array([(n * post)[lv == v].sum() for v in range(k)]) + usual
+            u = np.array([(n * (1 - post))[lv == v].sum() for v in range(k)]) + rare
             # A missing value (level 0) speaks for neither side.
             m, u = m / m[1:].sum(), u / u[1:].sum()
-            w = np.log(m / u)
+            w = np.log(np.maximum(m, 1e-12) / np.maximum(u, 1e-12))
             w[0] = 0.0
             weights += w[lv]
         post = 1 / (1 + np.exp(-np.clip(weights, -40, 40)))
@@ -272,7 +287,7 @@ def scored(records: DataFrame, works: DataFrame) -> DataFrame:
     """``record_id, work_id, title_dice, confidence, same`` of every candidate pair."""
     left, right = cut(encode_records(records), "link-records"), cut(encode_works(works), "link-works")
     pairs = cut(candidates(left, right), "link-pairs")
-    cols = ["title", "page", "volume", "year", "families", "journal", "vector"]
+    cols = ["title", "page", "volume", "year", "families", "journal", "vector", "people", "venue"]
     joined = pairs.join(left.select(F.col("id").alias("record_id"), F.struct(*cols).alias("x")), "record_id").join(
         right.select(F.col("id").alias("work_id"), F.struct(*cols).alias("y")), "work_id"
     )
