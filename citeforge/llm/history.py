@@ -227,14 +227,14 @@ def blocked(batch: DataFrame, table: DataFrame) -> tuple[DataFrame, DataFrame]:
         "history-hot",
     )
     if hot.isEmpty():
-        return batch.withColumn("key", F.col("anchor")), table.withColumn("key", F.col("anchor"))
+        return batch.withColumnRenamed("anchor", "key"), table.withColumnRenamed("anchor", "key")
 
     def dealt(side: DataFrame, own: str, met: str, own_first: bool) -> DataFrame:
         mine = F.pmod(F.xxhash64("record_id"), F.col(own))
         others = F.sequence(F.lit(0).cast("long"), F.col(met) - 1)
         keys = F.transform(others, lambda o: F.xxhash64("anchor", *((mine, o) if own_first else (o, mine))))
         keyed = side.join(hot, "anchor", "left")
-        return keyed.withColumn("key", F.explode(F.when(F.col(own).isNotNull(), keys).otherwise(F.array("anchor")))).drop(own, met)
+        return keyed.withColumn("key", F.explode(F.when(F.col(own).isNotNull(), keys).otherwise(F.array("anchor")))).drop(own, met, "anchor")
 
     return dealt(batch, "b_blocks", "t_blocks", True), dealt(table, "t_blocks", "b_blocks", False)
 
@@ -242,7 +242,7 @@ def blocked(batch: DataFrame, table: DataFrame) -> tuple[DataFrame, DataFrame]:
 def candidates(batch: DataFrame, table: DataFrame) -> DataFrame:
     """``a, b``: pairs of a point of ``table`` (a) and one of ``batch`` (b) with the same first
     distance that neither the triangle inequality nor their facts rule out; each pair once.
-    ``table`` holds history (``old``) and the batch itself, of which the lesser id is ``a``."""
+    ``table`` holds history (``old``, if there is any) and the batch itself, of which the lesser id is ``a``."""
     left, right = blocked(batch, table)
     x, y = right.alias("x"), left.alias("y")
     a, b = F.col("x.pivots"), F.col("y.pivots")
@@ -251,10 +251,13 @@ def candidates(batch: DataFrame, table: DataFrame) -> DataFrame:
     titled = (stored(a, 0) > 0) & (stored(b, 0) > 0)
     differ = lambda c: F.coalesce(F.col(f"x.{c}") != F.col(f"y.{c}"), F.lit(False))
     far = F.coalesce(F.abs(F.col("x.year") - F.col("y.year")) > YEARS, F.lit(False))
-    open_ = F.col("y.by_id") | ~(differ("page") | differ("volume") | far)
+    # An anchor is an identifier's for both of its points; asked of both, so that a batch that is its own
+    # table is shuffled once for both sides.
+    open_ = (F.col("x.by_id") & F.col("y.by_id")) | ~(differ("page") | differ("volume") | far)
+    earlier = F.col("x.record_id") < F.col("y.record_id")
     return (
-        x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.anchor") == F.col("y.anchor")))
-        .filter((F.col("x.old") | (F.col("x.record_id") < F.col("y.record_id"))) & (~titled | (bound <= long - short + EDITS * short + 1)) & open_)
+        x.join(y, F.col("x.key") == F.col("y.key"))
+        .filter(((F.col("x.old") | earlier) if "old" in table.columns else earlier) & (~titled | (bound <= long - short + EDITS * short + 1)) & open_)
         .select(F.col("x.record_id").alias("a"), F.col("y.record_id").alias("b"))
         .distinct()
     )
@@ -405,12 +408,12 @@ class History:
         ranks = new_words if shared is None else new_words.unionByName(shared.select("word", "rank"))
         made = anchors(reps, ranks).withColumn("slot", slot("anchor"))
         points = self._write(made.repartitionByRange("anchor").sortWithinPartitions("anchor"), "points", seq, "slot")
-        table, fields = points.withColumn("old", F.lit(False)), reps
+        table, fields = points, reps
         if old["points"] is not None:
             # At most SLOTS rows. Ranges in which the batch has no point are not read.
             slots = [r["slot"] for r in points.select("slot").distinct().collect()]
             history = old["points"].filter(F.col("slot").isin(slots)).join(points.select("anchor").distinct(), "anchor", "left_semi")
-            table = table.unionByName(history.withColumn("old", F.lit(True)).select(table.columns))
+            table = points.withColumn("old", F.lit(False)).unionByName(history.withColumn("old", F.lit(True)).select(*points.columns, "old"))
             fields = old["fields"].select(reps.columns).unionByName(reps)
         links = verified(cut(candidates(points, table), "batch-pairs"), fields, reps).unionByName(copies)
         first = cut(self._follow(links, read.select("record_id"), old["roots"]), "batch-roots")
