@@ -437,12 +437,15 @@ def _by_neighbours(chunks: DataFrame, weak: DataFrame, lost: DataFrame, words: D
         F.max_by("candidate", F.struct("w", "s", "candidate")).alias("w_best"), F.max("w").alias("w"),
         F.max_by("candidate", F.struct("s", "w", "candidate")).alias("s_best"), F.max("s").alias("s"),
     )
-    worded_out = F.col("w_all") > 0
+    # One place with a neighbouring word is chance; then the signs decide.
+    worded_out = F.col("w") > 1
     best = F.when(worded_out, F.col("w_best")).otherwise(F.col("s_best"))
     top, total = F.when(worded_out, F.col("w")).otherwise(F.col("s")), F.when(worded_out, F.col("w_all")).otherwise(F.col("s_all"))
-    settled = F.when((top >= 2) & (top >= SURE * total) & (best != F.col("chunk")), best)
-    decided = sums.select("chunk", "left", "right", settled.alias("restored"))
     is_lost = F.col("chunk").contains(LOST)
+    # Which letter was lost is for words to say; signs say only which sign it was.
+    open_ = is_lost & ~worded_out & best.rlike(r"\p{L}")
+    settled = F.when((top >= 2) & (top >= SURE * total) & (best != F.col("chunk")) & ~open_, best)
+    decided = sums.select("chunk", "left", "right", settled.alias("restored"))
     unsettled = at.join(lost, "chunk").join(decided, ["chunk", "left", "right"], "left").select("chunk", "left", "right", "restored")
     return unsettled.unionByName(decided.filter(~is_lost & F.col("restored").isNotNull()))
 
