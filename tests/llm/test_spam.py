@@ -92,3 +92,16 @@ def test_mean_information_against_brute_force(spark):
         if len(w) > 1:
             want[i] = round(sum(pmi) / len(pmi), 9) if pmi else None
     assert {r["doc_id"]: r["m"] for r in rows} == want
+
+
+def test_running_text_is_measured_and_judged_where_it_does_not_cohere(spark):
+    rng = random.Random(12)
+    phrases = [" ".join(rng.choice(WORDS) for _ in range(8)).capitalize() + "." for _ in range(30)]
+    texts = [" ".join(rng.choice(phrases) for _ in range(4)) for _ in range(60)] + list(clean(rng)) * 3
+    salad = [" ".join(" ".join(w) + "." for w in zip(*[iter(rng.sample(WORDS, 60))] * 6, strict=True)) for _ in range(6)]
+    docs = spark.createDataFrame(list(enumerate(texts + salad)), "doc_id long, text string")
+    measured = {r["doc_id"]: r for r in spam.page_measures(spam.scan(docs)).collect()}
+    assert set(measured) == set(range(len(texts + salad))) and all(measured[i]["mean_pmi"] is not None for i in range(60))
+    low, high = spam.coherent(spam.page_measures(spam.scan(docs)).filter(f"text_share < {spam.JUDGED} or repeats >= {spam.REPEATS}"))
+    outside = {i for i, r in measured.items() if r["text_share"] >= spam.JUDGED and r["mean_pmi"] is not None and not low <= r["mean_pmi"] <= high}
+    assert outside and outside <= {r["doc_id"] for r in spam.judged(docs).collect()}
