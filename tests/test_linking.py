@@ -8,7 +8,7 @@ import pytest
 from citeforge.functions.similarity import PATENT_THRESHOLDS
 from citeforge.operators import linking
 
-KINDS = ["author_match", "institution_match"]
+KINDS = ["author_match", "institution_match", "subject_match"]
 
 
 def _rows(n, seed):
