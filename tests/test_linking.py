@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -57,3 +58,37 @@ def test_links_are_those_of_all_ratios(kind, scale, monkeypatch):
     # The work that took the time: ratios are computed where they can decide only.
     pairs = sum(a["cell"] == b["cell"] for a in left for b in right)
     assert not scale or len(asked) < pairs
+
+
+@pytest.mark.parametrize("letters", ["ab", "abcdé ", "aßx漢😀", "abcdefghijklmnopqrstuvwxyz "])
+@pytest.mark.parametrize("most", [20, 90, 210, 300])
+def test_ratios_of_many_names_are_those_of_one(letters, most):
+    rng = random.Random(most)
+    of = lambda n: ["", "a", *("".join(rng.choice(letters) for _ in range(rng.randint(most // 2, most))) for _ in range(n))]
+    left, right = of(12), of(12)
+    right += [x[:5] + y[3:] for x, y in zip(left, right, strict=True)]
+    a, b = linking.Names(left), linking.Names(right)
+    p, q = (np.array(x) for x in zip(*((x, y) for x in range(len(left)) for y in range(len(right))), strict=True))
+    want = np.array([linking.ratio(left[x], right[y]) for x, y in zip(p, q, strict=True)])
+    assert linking.ratios(a, b, p, q).tolist() == want.tolist()
+    for bound in (linking.shared_neighbours(a, b, p, q), linking.common_subsequence(a, b, p, q), linking.shared_letters(a, b, np.arange(len(left)), np.arange(len(right)))[p, q]):
+        assert (bound >= want - linking.EPS).all()
+
+
+def test_subject_pairs_of_several_keys_are_scored_once(monkeypatch):
+    left, right = _rows(90, 7)
+    for r in left + right:
+        r["cell"] = "a"
+    for r in right:
+        r["held"] = [] if r["title"] is None else sorted({k for x in left for k in x["keywords"] if k in r["title"]})
+    dealt = [x | {"cell": k, "earlier": ks[:n]} for x in left for ks in [list(dict.fromkeys(x["keywords"]))] for n, k in enumerate(ks)]
+    meet = [x | {"cell": k} for x in right for k in x["held"]]
+    least = PATENT_THRESHOLDS["subject_match"]
+    want = {(a["pub_id"], b["lens_id"]): s for a in left for b in right if set(a["keywords"]) & set(b["held"]) and (s := _expected("subject_match", a, b)) >= least}
+    slow = []
+    monkeypatch.setattr(linking, "FEW", 0)
+    monkeypatch.setattr(linking, "ratio", lambda x, y, of=linking.ratio: slow.append((x, y)) or of(x, y))
+    got = linking.scored(pa.Table.from_pylist(dealt), pa.Table.from_pylist(meet), "subject_match", least).to_pylist()
+    assert {(r["pub_id"], r["lens_id"]): r["confidence"] for r in got} == pytest.approx(want)
+    # What took the time: a pair for each of its keys, and ratios one by one.
+    assert len(got) == len(want) > 0 and not slow
