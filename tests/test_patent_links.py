@@ -120,3 +120,32 @@ def test_similar_names_against_brute_force(spark):
     brute = {(x, y) for x in left for y in right if difflib.SequenceMatcher(None, x, y).ratio() >= 0.8}
     # Short names with an error in their only word are keyed by that word without a letter.
     assert got <= brute and brute - got == set()
+
+
+def _broadcast_rows(plan):
+    """Rows of every broadcast table of a plan that has run."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return _broadcast_rows(plan.executedPlan())
+    if plan.nodeName().endswith("QueryStage"):
+        return _broadcast_rows(plan.plan())
+    own = [plan.metrics().apply("numOutputRows").value()] if plan.nodeName() == "BroadcastExchange" else []
+    children = plan.children()
+    return own + [n for i in range(children.size()) for n in _broadcast_rows(children.apply(i))]
+
+
+def test_trigrams_are_not_broadcast_by_the_size_of_their_texts(spark, tmp_path):
+    words = [f"{a}{b}{c}" for a in ("thermal", "porous", "woven") for b in ("chip", "reader", "gel") for c in ("plate", "valve", "strip")]
+    made = [(f"{x} with {y} and a {z} for water {x[:4]}",) for x in words for y in words[:9] for z in words[9:18]]
+    keys = [(w,) for w in words] + [(f"none {n}",) for n in range(3000)]
+    for name, rows in (("t", made), ("k", keys)):
+        spark.createDataFrame(rows, f"{name} string").write.parquet(str(tmp_path / name))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        got = patents.containing(spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "k")))
+        pairs = {tuple(r) for r in got.collect()}
+        sent = _broadcast_rows(got._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert pairs == {(t, k) for (t,) in made for (k,) in keys if k in t}
+    assert max(sent, default=0) <= max(len(made), len(keys))
